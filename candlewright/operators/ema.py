@@ -187,12 +187,25 @@ def ema(candles: DataFrame, value: str, alpha: float, out: str) -> DataFrame:
 def spread_with_macd(
     candles: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, lookback: int = 1
 ) -> DataFrame:
-    """``series.spread`` with macd, macd_signal and macd_hist added."""
+    """``series.spread`` with macd, macd_signal and macd_hist; keeps ``_i`` and ``_start``."""
     df, (quick, long, smooth) = spread_with_states(
         candles, "close", [span_alpha(fast), span_alpha(slow)], span_alpha(signal), lookback
     )
     return (
         df.withColumns({"macd": quick - long, "macd_signal": smooth})
         .withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
-        .drop("_i", "_start", "_l_s0", "_l_s1", "_l_s2")
+        .drop("_l_s0", "_l_s1", "_l_s2")
     )
+
+
+def previous_macd() -> dict[str, Column]:
+    """The MACD columns one row earlier, on the result of ``spread_with_macd``.
+
+    Look-back rows carry no MACD of their own; for the first row of a block the row before left
+    exactly the state the block starts from.
+    """
+    before = {n: F.lag(n).over(series.series_window()) for n in ("macd", "macd_signal", "macd_hist")}
+    line = F.col("_start.s0") - F.col("_start.s1")
+    smooth = F.col("_start.s2")
+    entry = {"macd": line, "macd_signal": smooth, "macd_hist": line - smooth}
+    return {n: F.when(F.col("_i") == 0, entry[n]).otherwise(before[n]) for n in before}

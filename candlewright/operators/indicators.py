@@ -95,12 +95,13 @@ def _pattern() -> Column:
     )
 
 
+HELPERS = ["_po", "_pc", "_gain", "_loss", "_range", "_sd", "_up", "_down", "_usual"]
+
+
 def _compute(df: DataFrame, names: set[str]) -> DataFrame:
     """Add indicators to spread candles and settle them."""
     df = _with_moves(df).withColumns(_rolling(names))
-    return settle(df.withColumns(_final(names))).drop(
-        "_po", "_pc", "_gain", "_loss", "_range", "_sd", "_up", "_down", "_usual"
-    )
+    return settle(df.withColumns(_final(names))).drop(*HELPERS)
 
 
 def moving_averages(candles: DataFrame) -> DataFrame:
@@ -145,7 +146,7 @@ def candle_pattern(candles: DataFrame) -> DataFrame:
 
 
 def macd(candles: DataFrame) -> DataFrame:
-    return settle(averages.spread_with_macd(candles))
+    return settle(averages.spread_with_macd(candles)).drop("_i", "_start")
 
 
 def previous_candle(candles: DataFrame, out: str = "prev") -> DataFrame:
@@ -154,12 +155,23 @@ def previous_candle(candles: DataFrame, out: str = "prev") -> DataFrame:
     return settle(spread(candles, 1).withColumn(out, F.lag(row).over(series_window())))
 
 
-def with_indicators(candles: DataFrame) -> DataFrame:
-    """Candles with every indicator a rule can name, computed over one block shuffle."""
+ALL = {"averages", "bands", "rsi", "atr", "volume", "change", "pattern"}
+
+
+def with_indicators(candles: DataFrame, previous: bool = False) -> DataFrame:
+    """Candles with every indicator a rule can name, computed over one block shuffle.
+
+    ``previous`` adds ``prev``, the same columns one candle earlier, in that pass.
+    """
     if "vwap" not in candles.columns:
         typical = (F.col("high") + F.col("low") + F.col("close")) / 3
         candles = candles.withColumn("vwap", typical)
-    return _compute(
-        averages.spread_with_macd(candles, lookback=LONGEST - 1),
-        {"averages", "bands", "rsi", "atr", "volume", "change", "pattern"},
-    )
+    lookback = LONGEST if previous else LONGEST - 1
+    df = _with_moves(averages.spread_with_macd(candles, lookback=lookback))
+    df = df.withColumns(_rolling(ALL)).withColumns(_final(ALL)).drop(*HELPERS)
+    if previous:
+        inner = [c for c in df.columns if c not in ("_block", "_halo", "_i", "_start")]
+        lagged = {c: F.lag(c).over(series_window()) for c in inner} | averages.previous_macd()
+        row = F.struct(*[lagged[c].alias(c) for c in inner])
+        df = df.withColumn("prev", F.when(lagged["open_time"].isNotNull(), row))
+    return settle(df).drop("_i", "_start")
