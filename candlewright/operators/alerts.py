@@ -31,10 +31,11 @@ def to_alerts(triggered: DataFrame) -> DataFrame:
 
 
 def as_messages(alerts: DataFrame) -> DataFrame:
-    """Alert events as topic records: key and JSON value."""
+    """Alert events as topic records: key and JSON value, times to the microsecond."""
+    options = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
     return alerts.select(
         F.col("rule_id").cast("binary").alias("key"),
-        F.to_json(F.struct(*alerts.columns), {"ignoreNullFields": "false"}).cast("binary").alias("value"),
+        F.to_json(F.struct(*alerts.columns), options).cast("binary").alias("value"),
     )
 
 

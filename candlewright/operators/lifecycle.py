@@ -61,6 +61,12 @@ def patch(rules: DataFrame, patches: DataFrame) -> DataFrame:
     )
 
 
+def _flipped(times: str) -> Column:
+    """is_active after that many toggles; a missing one counts as active once it is toggled."""
+    flipped = F.coalesce("is_active", F.lit(True)) != (F.col(times) % 2 == 1)
+    return F.when(F.col(times).isNotNull(), flipped).otherwise(F.col("is_active"))
+
+
 def delete(rules: DataFrame, deletes: DataFrame) -> DataFrame:
     return rules.join(deletes.select("rule_id", "user_id"), ["rule_id", "user_id"], "left_anti")
 
@@ -70,10 +76,9 @@ def toggle(rules: DataFrame, toggles: DataFrame) -> DataFrame:
     counted = toggles.groupBy("rule_id", "user_id").agg(
         F.count("*").alias("_n"), F.max("ts").alias("_at")
     )
-    odd = F.coalesce(F.col("_n") % 2 == 1, F.lit(False))
     return (
         rules.join(counted, ["rule_id", "user_id"], "left")
-        .withColumn("is_active", F.when(odd, ~F.coalesce("is_active", F.lit(True))).otherwise(F.col("is_active")))
+        .withColumn("is_active", _flipped("_n"))
         .withColumn("updated_at", F.coalesce("_at", "updated_at"))
         .select(*rules.columns)
     )
@@ -141,13 +146,12 @@ def apply_changes(rules: DataFrame, changes: DataFrame) -> DataFrame:
         F.col("_started").alias("created_at"), F.col("_started").alias("updated_at"),
         F.lit(None).cast("timestamp").alias("last_triggered_at"), F.lit(0).alias("trigger_count"),
     )
-    odd = F.coalesce(F.col("_flips") % 2 == 1, F.lit(False))
     return (
         kept.unionByName(begun)
         .join(effects, "rule_id", "left")
         .join(flips, "rule_id", "left")
         .withColumns({c: F.coalesce(f"_p_{c}", c) for c in PATCHED})
-        .withColumn("is_active", F.when(odd, ~F.coalesce("is_active", F.lit(True))).otherwise(F.col("is_active")))
+        .withColumn("is_active", _flipped("_flips"))
         .withColumn("updated_at", F.coalesce("_at", "updated_at"))
         .select(*RULE_COLUMNS)
     )
