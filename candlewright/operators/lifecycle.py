@@ -37,10 +37,9 @@ def _sets_any(payload: str = "payload") -> Column:
     return out
 
 
-def _latest(column: Column, when: Column | None = None) -> Column:
+def _latest(column: Column) -> Column:
     """The value of the latest change that sets it (null if none); combines map-side."""
-    kept = column.isNotNull() if when is None else when & column.isNotNull()
-    return F.max_by(column, F.when(kept, F.col("ts")))
+    return F.max_by(column, F.when(column.isNotNull(), F.col("ts")))
 
 
 def patch(rules: DataFrame, patches: DataFrame) -> DataFrame:
@@ -92,66 +91,98 @@ def apply_changes(rules: DataFrame, changes: DataFrame) -> DataFrame:
 
     1. a rule's owner is whoever has it in the table, else whoever created it first; changes by
        others match nothing;
-    2. nothing before the last delete survives; the first create after it starts the rule anew
-       (without a delete, a stored rule goes on and creates are refused);
-    3. from there every column takes the latest value patched, and toggles after the latest patch
-       of is_active flip it by their parity.
+    2. nothing up to the last delete survives; the first create after it starts the rule anew
+       (a stored rule that was not deleted goes on, and creates of it are refused);
+    3. from that start every column takes the latest value patched (if the latest value is older
+       than the start, none came after it), and toggles after the latest patch of is_active flip it
+       by their parity.
 
-    ``ts`` is unique within a rule.
+    ``ts`` is unique within a rule, and creates have passed validation.
     """
-    op = F.col("op")
-    stored = rules.select("rule_id", F.col("user_id").alias("_owner"), F.lit(True).alias("_stored"))
-    first = changes.groupBy("rule_id").agg(
-        F.min_by("user_id", F.when(op == "create", F.col("ts"))).alias("_creator")
-    )
-    owners = first.join(stored, "rule_id", "left").select(
-        "rule_id", F.coalesce("_owner", "_creator").alias("_owner"),
-        F.coalesce("_stored", F.lit(False)).alias("_stored"),
+    effects = _effects(changes, _owners(rules, changes))
+    flips = _flips(changes, effects)
+    both = (
+        rules.select(*RULE_COLUMNS)
+        .join(effects.withColumnRenamed("rule_id", "_rule"), F.col("rule_id") == F.col("_rule"), "full")
+        .withColumn("rule_id", F.coalesce("rule_id", "_rule"))
+        .join(flips, "rule_id", "left")
+        .filter(F.col("_rule").isNull() | F.col("_goes_on") | F.col("_started").isNotNull())
     )
-    own = (
-        changes.join(owners, "rule_id")
-        .filter(F.col("user_id") == F.col("_owner"))
-        .filter((op != "patch") | _sets_any())
+    anew = F.col("_started").isNotNull()
+    begun = R.with_defaults(
+        both.filter(anew).select(
+            *[c for c in both.columns if c not in RULE_COLUMNS], "rule_id",
+            F.col("_owner").alias("user_id"), "_new.*",
+            F.col("_started").alias("created_at"), F.col("_started").alias("updated_at"),
+            F.lit(None).cast("timestamp").alias("last_triggered_at"), F.lit(0).alias("trigger_count"),
+        )
     )
-    ends = own.groupBy("rule_id").agg(F.max(F.when(op == "delete", F.col("ts"))).alias("_deleted"))
-    alive = own.join(ends, "rule_id").filter(F.col("_deleted").isNull() | (F.col("ts") > F.col("_deleted")))
-    goes_on = F.col("_stored") & F.col("_deleted").isNull()
-    starts = alive.filter((op == "create") & ~goes_on).groupBy("rule_id").agg(
-        F.min("ts").alias("_started"), F.min_by("payload", "ts").alias("_new")
+    return (
+        both.filter(~anew).unionByName(begun)
+        .withColumns({c: F.coalesce(f"_p_{c}", c) for c in PATCHED})
+        .withColumn("is_active", _flipped("_flips"))
+        .withColumn("updated_at", F.coalesce("_acted", "updated_at"))
+        .select(*RULE_COLUMNS)
     )
-    acting = alive.filter(op.isin("patch", "toggle")).join(
-        starts.select("rule_id", "_started"), "rule_id", "left"
-    ).filter(F.when(goes_on, True).otherwise(F.col("ts") > F.col("_started")))
-    patched = op == "patch"
-    effects = acting.groupBy("rule_id").agg(
-        F.max("ts").alias("_at"),
-        *[_latest(F.col(f"payload.{c}"), patched).alias(f"_p_{c}") for c in PATCHED],
-        F.max(F.when(patched & F.col("payload.is_active").isNotNull(), F.col("ts"))).alias("_set_at"),
+
+
+def _owners(rules: DataFrame, changes: DataFrame) -> DataFrame:
+    """Per rule in the log: owner, whether it is stored, and the owner's last delete."""
+    op = F.col("op")
+    by_user = changes.groupBy("rule_id", "user_id").agg(
+        F.max(F.when(op == "delete", F.col("ts"))).alias("_deleted"),
+        F.min(F.when(op == "create", F.col("ts"))).alias("_created"),
     )
-    flips = (
-        acting.filter(op == "toggle").select("rule_id", "ts")
-        .join(effects.select("rule_id", "_set_at"), "rule_id")
-        .filter(F.col("_set_at").isNull() | (F.col("ts") > F.col("_set_at")))
-        .groupBy("rule_id").agg(F.count("*").alias("_flips"))
+    stored = rules.select("rule_id", F.col("user_id").alias("_stored"))
+    owners = (
+        by_user.groupBy("rule_id").agg(F.min_by("user_id", "_created").alias("_creator"))
+        .join(stored, "rule_id", "left")
+        .select(
+            "rule_id", F.coalesce("_stored", "_creator").alias("user_id"),
+            F.col("_stored").isNotNull().alias("_is_stored"),
+        )
     )
+    return owners.join(by_user.drop("_created"), ["rule_id", "user_id"])
 
-    kept = rules.select(*RULE_COLUMNS).join(
-        ends.filter(F.col("_deleted").isNotNull()), "rule_id", "left_anti"
+
+def _effects(changes: DataFrame, owners: DataFrame) -> DataFrame:
+    """Per rule: where its present life starts and what was patched since."""
+    op, ts = F.col("op"), F.col("ts")
+    patched, toggled = (op == "patch") & _sets_any(), op == "toggle"
+    alive = F.coalesce(ts > F.col("_deleted"), F.lit(True))
+    own = changes.join(owners, ["rule_id", "user_id"]).withColumn(
+        "_goes_on", F.col("_is_stored") & F.col("_deleted").isNull()
     )
-    owner_of = owners.select("rule_id", F.col("_owner").alias("user_id"))
-    begun = R.with_defaults(
-        starts.join(owner_of, "rule_id").select("rule_id", "user_id", "_started", "_new.*")
-    ).select(
-        "rule_id", "user_id", "symbol", "timeframe", *PATCHED,
-        F.col("_started").alias("created_at"), F.col("_started").alias("updated_at"),
-        F.lit(None).cast("timestamp").alias("last_triggered_at"), F.lit(0).alias("trigger_count"),
+    set_at = {c: F.when(alive & patched & F.col(f"payload.{c}").isNotNull(), ts) for c in PATCHED}
+    starts = F.when(alive & (op == "create") & ~F.col("_goes_on"), ts)
+    raw = own.groupBy("rule_id").agg(
+        F.any_value("user_id").alias("_owner"),
+        F.any_value("_goes_on").alias("_goes_on"),
+        F.min(starts).alias("_started"),
+        F.min_by("payload", starts).alias("_new"),
+        F.max(F.when(alive & (patched | toggled), ts)).alias("_acted"),
+        *[F.max_by(f"payload.{c}", at).alias(f"_p_{c}") for c, at in set_at.items()],
+        *[F.max(at).alias(f"_at_{c}") for c, at in set_at.items()],
+    )
+
+    def since(at: str) -> Column:
+        return F.col("_goes_on") | (F.col(at) > F.col("_started"))
+
+    return raw.withColumns({
+        **{f"_p_{c}": F.when(since(f"_at_{c}"), F.col(f"_p_{c}")) for c in PATCHED},
+        "_acted": F.when(since("_acted"), F.col("_acted")),
+        # Toggles count from the start of the rule or the latest patch of is_active.
+        "_from": F.greatest("_started", F.when(since("_at_is_active"), F.col("_at_is_active"))),
+    }).drop(*[f"_at_{c}" for c in PATCHED])
+
+
+def _flips(changes: DataFrame, effects: DataFrame) -> DataFrame:
+    bounds = effects.filter(F.col("_goes_on") | F.col("_started").isNotNull()).select(
+        "rule_id", F.col("_owner").alias("user_id"), "_from"
     )
     return (
-        kept.unionByName(begun)
-        .join(effects, "rule_id", "left")
-        .join(flips, "rule_id", "left")
-        .withColumns({c: F.coalesce(f"_p_{c}", c) for c in PATCHED})
-        .withColumn("is_active", _flipped("_flips"))
-        .withColumn("updated_at", F.coalesce("_at", "updated_at"))
-        .select(*RULE_COLUMNS)
+        changes.filter(F.col("op") == "toggle").select("rule_id", "user_id", "ts")
+        .join(bounds, ["rule_id", "user_id"])
+        .filter(F.coalesce(F.col("ts") > F.col("_from"), F.lit(True)))
+        .groupBy("rule_id").agg(F.count("*").alias("_flips"))
     )

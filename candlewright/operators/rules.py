@@ -97,7 +97,10 @@ def compiled(rules: DataFrame, fields: list[str]) -> DataFrame:
                 (F.coalesce(F.array_position(names, c["field"]), F.lit(0)) - 1).cast("int").alias("at"),
             ),
         ),
-    ).withColumn("_logic", F.upper(F.coalesce("logic", F.lit(fixed.DEFAULT_LOGIC))))
+    ).withColumns({
+        "_logic": F.upper(F.coalesce("logic", F.lit(fixed.DEFAULT_LOGIC))),
+        "_first": F.get("_conditions", F.lit(0)),
+    })
 
 
 def _arrays(candles: DataFrame, numeric: list[str], text: list[str]) -> dict[str, Column]:
@@ -142,6 +145,31 @@ def rule_passed() -> Column:
     )
 
 
+def _first_may_pass(numeric_fields: int) -> Column:
+    """A cheap test every passing AND rule meets: its first condition, as far as plain columns tell.
+
+    Lambdas over ``conditions`` are interpreted per pair of rule and candle; this runs in generated
+    code and rejects most pairs before they get there. It errs on the side of letting through.
+    """
+    at, limit = F.col("_first.at"), F.col("_first.limit")
+    number, before, text = F.get("_now", at), F.get("_before", at), F.get("_now_text", at)
+    operator = F.col("_first.operator")
+    plain_text = (at >= numeric_fields) & F.col("_first.value_str").isNotNull()
+    same = F.upper(text) == F.upper(F.col("_first.value_str"))
+    holds = (
+        F.when(operator == ">", number > limit)
+        .when(operator == "<", number < limit)
+        .when(operator == ">=", number >= limit)
+        .when(operator == "<=", number <= limit)
+        .when(operator == "crosses_above", (before <= limit) & (number > limit))
+        .when(operator == "crosses_below", (before >= limit) & (number < limit))
+        .when((operator == "==") & plain_text, same)
+        .when((operator == "!=") & plain_text, ~same)
+        .otherwise(operator.isin("==", "!="))
+    )
+    return (F.col("_logic") != "AND") | F.coalesce(holds, F.lit(False))
+
+
 def active(rules: DataFrame) -> DataFrame:
     return rules.filter(F.coalesce("is_active", F.lit(True)))
 
@@ -164,7 +192,11 @@ def match(candles: DataFrame, rules: DataFrame, condition: Column | None = None)
     for key in MATCH_KEYS:
         equal = F.col(key).eqNullSafe(F.col(f"rule_{key}"))
         on = equal if on is None else on & equal
-    if small_enough(side):
+    if small_enough(rules):
+        # Work per candle grows with the rules, not with its bytes: size-based coalescing would
+        # leave the evaluation to a few tasks.
+        tasks = int(candles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        candles = candles.repartition(tasks, *MATCH_KEYS, "open_time")
         side = F.broadcast(side)
     else:
         candles = candles.withColumn("_salt", F.pmod(F.xxhash64("open_time"), F.lit(SPREAD_COPIES)))
@@ -186,7 +218,8 @@ def evaluate(candles: DataFrame, rules: DataFrame) -> DataFrame:
         *MATCH_KEYS, "open_time", F.struct(*columns).alias("triggered_row"),
         *[c.alias(name) for name, c in _arrays(candles, numeric, text).items()],
     )
-    hits = match(prepared, compiled(rules, numeric + text), rule_passed())
+    passes = _first_may_pass(len(numeric)) & rule_passed()
+    hits = match(prepared, compiled(rules, numeric + text), passes)
     own = [F.col(c) for c in rules.columns if c not in MATCH_KEYS]
     return hits.select(
         *own, *MATCH_KEYS,
@@ -195,7 +228,9 @@ def evaluate(candles: DataFrame, rules: DataFrame) -> DataFrame:
     )
 
 
-def evaluate_conditions(candles: DataFrame, conditions: DataFrame) -> DataFrame:
+def evaluate_conditions(
+    candles: DataFrame, conditions: DataFrame, describe: bool = False
+) -> DataFrame:
     """Every condition (``condition_id`` and its parts) against every candle of its series."""
     rules = conditions.select(
         "symbol", "timeframe", "condition_id",
@@ -208,11 +243,12 @@ def evaluate_conditions(candles: DataFrame, conditions: DataFrame) -> DataFrame:
         *MATCH_KEYS, "open_time",
         *[c.alias(name) for name, c in _arrays(candles, numeric, text).items()],
     )
-    pairs = match(prepared, compiled(rules, numeric + text))
-    first = F.get("_conditions", F.lit(0))
+    pairs = match(prepared, compiled(rules, numeric + text).drop("_conditions", "conditions"))
+    first = F.col("_first")
+    words = [_described(first).alias("description")] if describe else []
     return pairs.select(
-        *MATCH_KEYS, "open_time", "condition_id",
-        _passed(first).alias("passed"), _described(first).alias("description"),
+        *MATCH_KEYS, "open_time", "condition_id", _passed(first).alias("passed"),
+        F.get("_before", first["at"]).alias("previous"), *words,
     )
 
 

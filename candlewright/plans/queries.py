@@ -307,7 +307,7 @@ def _crossing(spark, sf_dir, operator):
     return checked.groupBy("condition_id").agg(
         F.count_if("passed").alias("crossings"),
         F.min(F.when(F.col("passed"), F.col("open_time"))).alias("first_time"),
-        F.count_if(F.col("description").startswith("No previous data")).alias("without_previous"),
+        F.count_if(F.col("previous").isNull()).alias("without_previous"),
     )
 
 
