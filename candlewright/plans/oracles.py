@@ -539,3 +539,23 @@ SELECT rule_id, owner AS user_id, symbol, timeframe, conditions, condition AS fi
   email AS email_address, webhook AS webhook_url, cooldown AS cooldown_seconds, active AS is_active, created_at, updated_at, 0 AS trigger_count
 FROM ended WHERE alive
 UNION ALL SELECT {SHOWN} FROM stored_shown WHERE rule_id NOT IN (SELECT rule_id FROM owners)""".lstrip())
+
+# --- streams -------------------------------------------------------------------------------------
+
+oracle("stream_ohlcv", ["candles"], f"""
+SELECT {CANDLE} FROM candles WHERE open_time + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTES""")
+oracle("stream_dedup", ["alerts"], "SELECT alert_id, rule_id, triggered_at FROM alerts")
+oracle("stream_rules", ["triggered"], """
+SELECT sha256(rule_id || '|' || symbol || '|' || timeframe || '|' || epoch_us(open_time)) AS alert_id, rule_id,
+  open_time + INTERVAL 1 HOUR AS triggered_at, close AS close_price FROM triggered""")
+ORACLES["stream_cooldown"] = ORACLES["cooldown"]
+oracle("stream_indicators", ["indicators", "macd_lines"], f"""
+SELECT {KEY}, round(macd, 6) AS macd, round(macd_signal, 6) AS macd_signal, round(macd_hist, 6) AS macd_hist,
+  round(ma7, 6) AS ma7, round(ma25, 6) AS ma25, round(ma99, 6) AS ma99, round(rsi_14, 6) AS rsi_14
+FROM indicators JOIN macd_lines USING ({KEY})""")
+oracle("medallion_run", ["minutes"], """, clean AS (
+SELECT * FROM minutes WHERE open > 0 AND high > 0 AND low > 0 AND close > 0)
+""".lstrip() + " UNION ALL ".join(f"""
+SELECT upper(symbol) AS symbol, '{name}' AS timeframe, {_bucket(seconds, 'open_time')} AS open_time,
+  arg_min(open, clean.open_time) AS open, max(high) AS high, min(low) AS low, arg_max(close, clean.open_time) AS close,
+  sum(volume::decimal(18,0))::double AS volume FROM clean GROUP BY symbol, 3""" for name, seconds in [("1h", 3600), ("4h", 14400)]))

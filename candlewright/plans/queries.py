@@ -13,11 +13,14 @@ from candlewright.operators import cooldown as K
 from candlewright.operators import delivery as D
 from candlewright.operators import indicators as I
 from candlewright.operators import lifecycle as L
+from candlewright.operators import models as M
 from candlewright.operators import quality as Q
 from candlewright.operators import rules as R
 from candlewright.operators import silver as S
+from candlewright.plans import medallion
 from candlewright.session import shared_dir
 from candlewright.sources import feeds, tables, topics
+from candlewright.streaming import jobs, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -578,3 +581,91 @@ def rules_toggle(spark, sf_dir):
 @query
 def rules_apply_log(spark, sf_dir):
     return _shown(L.apply_changes(feeds.stored_rules(spark, sf_dir), feeds.rule_changes(spark, sf_dir)))
+
+
+# --- streams -------------------------------------------------------------------------------------
+
+@query
+def stream_ohlcv(spark, sf_dir):
+    ticks = feeds.ticks_of(feeds.stream(spark, sf_dir, "events"))
+    path = shared_dir(spark, "stream-candles")
+    jobs.to_files(jobs.stream_candles(ticks, "1h"), path, f"{path}-state").awaitTermination()
+    return spark.read.parquet(path).select(*CANDLE)
+
+
+@query
+def stream_dedup(spark, sf_dir):
+    sent = feeds.alerts_of(feeds.stream(spark, sf_dir, "orders"))
+    twice = sent.withColumn("attempt", F.explode(F.array(F.lit(1), F.lit(2)))).drop("attempt")
+    path = shared_dir(spark, "stream-alerts")
+    jobs.to_files(jobs.without_repeats(twice), path, f"{path}-state").awaitTermination()
+    return spark.read.parquet(path).select("alert_id", "rule_id", "triggered_at")
+
+
+@query
+def stream_rules(spark, sf_dir):
+    gold = shared_dir(spark, "indicator-candles")
+    hourly_indicators(spark, sf_dir).write.parquet(gold)
+    candles = spark.readStream.schema(spark.read.parquet(gold).schema).parquet(gold)
+    path = shared_dir(spark, "rule-alerts")
+    jobs.stream_alerts(
+        candles, lambda: feeds.rules(spark, sf_dir), path, f"{path}-state"
+    ).awaitTermination()
+    return spark.read.parquet(path).select("alert_id", "rule_id", "triggered_at", "close_price")
+
+
+@query
+def stream_cooldown(spark, sf_dir):
+    hits = shared_dir(spark, "triggers")
+    found = triggered(spark, sf_dir)
+    A.to_alerts(found.drop("conditions_met").withColumn("conditions_met", F.array(F.lit("")))).join(
+        feeds.rules(spark, sf_dir).select("rule_id", "cooldown_seconds"), "rule_id"
+    ).select("rule_id", "alert_id", "cooldown_seconds", "triggered_at").write.parquet(hits)
+    stream = spark.readStream.schema(spark.read.parquet(hits).schema).parquet(hits)
+    path = shared_dir(spark, "fired")
+    jobs.to_files(state.stream_cooldown(stream), path, f"{path}-state").awaitTermination()
+    return spark.read.parquet(path).select("rule_id", (F.col("triggered_at") - F.expr("INTERVAL 1 HOUR")).alias("triggered_at"))
+
+
+@query
+def stream_indicators(spark, sf_dir):
+    stored = shared_dir(spark, "series")
+    hourly(spark, sf_dir).select(*CANDLE).write.parquet(stored)
+    stream = spark.readStream.schema(spark.read.parquet(stored).schema).parquet(stored)
+    path = shared_dir(spark, "series-indicators")
+    jobs.to_files(state.stream_indicators(stream), path, f"{path}-state").awaitTermination()
+    out = spark.read.parquet(path)
+    rounded = ["macd", "macd_signal", "macd_hist", "ma7", "ma25", "ma99", "rsi_14"]
+    return out.select(*KEY, *[F.round(c, 6).alias(c) for c in rounded])
+
+
+@query
+def medallion_run(spark, sf_dir):
+    base = shared_dir(spark, "zones")
+    events = feeds.stream(spark, sf_dir, "events")
+    at = F.get_json_object(F.col("value").cast("string"), "$.ts").cast("timestamp")
+    medallion.bronze_job(feeds.tick_messages_of(events), f"{base}/bronze", f"{base}/state", at).awaitTermination()
+    medallion.silver_job(spark, f"{base}/bronze", f"{base}/silver")
+    medallion.gold_job(spark, f"{base}/silver", f"{base}/gold")
+    return tables.read_days(spark, f"{base}/gold").filter("timeframe in ('1h', '4h')").select(*CANDLE)
+
+
+# --- models --------------------------------------------------------------------------------------
+
+@query
+def ml_forest(spark, sf_dir):
+    """Predictions of a forest trained on four fifths of the time span, for the rest."""
+    rows = shared_dir(spark, "training")
+    M.labelled(hourly_indicators(spark, sf_dir).drop("prev")).write.parquet(rows)
+    data = spark.read.parquet(rows)
+    cut = moment("2024-01-25 00:00:00")
+    model = M.train_forest(data.filter(F.col("open_time") < cut))
+    return model.transform(data.filter(F.col("open_time") >= cut)).select(*KEY, "label", "prediction")
+
+
+@query
+def ml_kmeans(spark, sf_dir):
+    rows = shared_dir(spark, "vectors")
+    hourly_indicators(spark, sf_dir).drop("prev").dropna(subset=M.FEATURES).write.parquet(rows)
+    data = spark.read.parquet(rows)
+    return M.train_clusters(data).transform(data).select(*KEY, "prediction")

@@ -31,8 +31,12 @@ def ticks_of(events: DataFrame) -> DataFrame:
 
 
 def tick_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tick_messages_of(table(spark, sf_dir, "events"))
+
+
+def tick_messages_of(events: DataFrame) -> DataFrame:
     """Trades as a topic delivers them: JSON bytes with topic, partition and offset."""
-    tick = ticks(spark, sf_dir).withColumn("ts", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    tick = ticks_of(events).withColumn("ts", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
     return tick.select(
         F.lit("raw-crypto-ticks").alias("topic"),
         F.pmod(F.col("trade_id"), F.lit(5)).cast("int").alias("partition"),
@@ -249,3 +253,9 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         (200 + 204 * (F.col("value") > 100).cast("int")).alias("status"),
         F.col("value").alias("duration"),
     )
+
+
+def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as a file stream."""
+    schema = table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
