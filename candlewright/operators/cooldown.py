@@ -12,13 +12,16 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from candlewright.functions.timeframes import seconds_of
 
 CHUNK_CANDLES = 2048
+# Types as objects: type text would need a running session when this module is imported.
+EXIT = T.StructType([T.StructField("t", T.LongType()), T.StructField("ready", T.LongType())])
 
 
-@F.pandas_udf("array<struct<t: bigint, ready: bigint>>")
+@F.pandas_udf(T.ArrayType(EXIT))
 def _exits(times: pd.Series, wait: pd.Series, start: pd.Series) -> pd.Series:
     """Per possible first firing of a chunk, when the rule is ready again after the chunk."""
     def one(t, w, s):
@@ -33,7 +36,7 @@ def _exits(times: pd.Series, wait: pd.Series, start: pd.Series) -> pd.Series:
     return pd.Series([one(np.asarray(t), w, s) for t, w, s in zip(times, wait, start)])
 
 
-@F.pandas_udf("array<bigint>")
+@F.pandas_udf(T.ArrayType(T.LongType()))
 def _fires(times: pd.Series, wait: pd.Series, ready: pd.Series) -> pd.Series:
     """The times of a chunk that fire, given when the rule is ready at its start."""
     def one(t, w, r):
