@@ -2,7 +2,7 @@
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewright.fixed import TIMEFRAME_SECONDS
@@ -127,27 +127,32 @@ def typical_vwap(candle: DataFrame, timeframe: str) -> DataFrame:
 
 
 def volume_profile(ticks: DataFrame, step: float) -> DataFrame:
-    """Traded volume per price bucket, symbol and day; the point of control is flagged."""
+    """Traded volume per price bucket, symbol and day; the point of control is flagged.
+
+    The point of control is looked up among the finished buckets of a symbol's day, which the day's
+    price range bounds, so the ticks are read once.
+    """
     profile = ticks.groupBy(
         "symbol",
         F.to_date("ts").alias("day"),
         F.floor(F.col("price") / F.lit(step)).alias("bucket"),
     ).agg(exact_sum(F.col("quantity")).alias("volume"), F.count("*").alias("trades"))
-    control = point_of_control(profile).select(
-        F.col("symbol").alias("_symbol"), F.col("day").alias("_day"), "control_bucket"
-    )
-    same = F.col("symbol").eqNullSafe(F.col("_symbol")) & F.col("day").eqNullSafe(F.col("_day"))
-    return profile.join(control, same).select(
+    day = Window.partitionBy("symbol", "day")
+    return profile.withColumn("_control", _control().over(day)).select(
         "symbol", "day", "bucket",
         (F.col("bucket") * F.lit(step)).alias("price_from"),
         "volume", "trades",
-        (F.col("bucket") == F.col("control_bucket")).alias("is_control"),
+        (F.col("bucket") == F.col("_control")).alias("is_control"),
     )
 
 
+def _control() -> Column:
+    """The bucket of largest volume, the lowest such bucket on ties."""
+    return F.max_by("bucket", F.struct("volume", -F.col("bucket")))
+
+
 def point_of_control(profile: DataFrame) -> DataFrame:
-    """The bucket of largest volume per symbol and day, the lowest such bucket on ties."""
+    """Per symbol and day, the point of control and its volume."""
     return profile.groupBy("symbol", "day").agg(
-        F.max_by("bucket", F.struct("volume", -F.col("bucket"))).alias("control_bucket"),
-        F.max("volume").alias("control_volume"),
+        _control().alias("control_bucket"), F.max("volume").alias("control_volume")
     )

@@ -64,7 +64,7 @@ def backfill(bronze: DataFrame, history: DataFrame) -> DataFrame:
     """Bronze with the candles history adds; where both have a candle, Bronze keeps its own."""
     one = Window.partitionBy(*ID).orderBy(*[F.desc(c) for c in ("volume", *PRICES)])
     fresh = (
-        history.join(bronze.select(*ID).distinct(), ID, "left_anti")
+        history.join(bronze.select(*ID), ID, "left_anti")
         .withColumn("_n", F.row_number().over(one)).filter("_n = 1").drop("_n")
     )
     return bronze.unionByName(fresh)

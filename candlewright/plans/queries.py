@@ -18,7 +18,7 @@ from candlewright.operators import quality as Q
 from candlewright.operators import rules as R
 from candlewright.operators import silver as S
 from candlewright.plans import medallion
-from candlewright.session import shared_dir
+from candlewright.session import shared_dir, stored
 from candlewright.sources import feeds, tables, topics
 from candlewright.streaming import jobs, state
 
@@ -48,8 +48,13 @@ def hourly(spark, sf_dir) -> DataFrame:
     return C.candles(feeds.ticks(spark, sf_dir), "1h")
 
 
+def series(spark, sf_dir) -> DataFrame:
+    """Hourly candles as a stored table: indicators read their input twice, trades only once."""
+    return stored(hourly(spark, sf_dir), "candles")
+
+
 def hourly_indicators(spark, sf_dir) -> DataFrame:
-    return I.with_indicators(hourly(spark, sf_dir), previous=True)
+    return I.with_indicators(series(spark, sf_dir), previous=True)
 
 
 def triggered(spark, sf_dir) -> DataFrame:
@@ -106,7 +111,7 @@ def rules_source(spark, sf_dir):
 @query
 def silver_table(spark, sf_dir):
     path = shared_dir(spark, "silver")
-    tables.write_days(I.moving_averages(hourly(spark, sf_dir)), path)
+    tables.write_days(I.moving_averages(series(spark, sf_dir)), path)
     return tables.read_days(spark, path).select(*CANDLE, "ma7", F.col("day").cast("string").alias("day"))
 
 
@@ -306,7 +311,7 @@ def _crossing(spark, sf_dir, operator):
         k.alias("condition_id"), F.lit("close").alias("field"), F.lit(operator).alias("operator"),
         (20 + k % 100).cast("double").alias("value_num"), F.lit(None).cast("string").alias("value_str"),
     )
-    checked = R.evaluate_conditions(hourly(spark, sf_dir), lines)
+    checked = R.evaluate_conditions(series(spark, sf_dir), lines)
     return checked.groupBy("condition_id").agg(
         F.count_if("passed").alias("crossings"),
         F.min(F.when(F.col("passed"), F.col("open_time"))).alias("first_time"),
@@ -416,7 +421,7 @@ def cooldown(spark, sf_dir):
     hits = triggered(spark, sf_dir).select(
         "rule_id", "timeframe", "cooldown_seconds", F.col("triggered_row.open_time").alias("triggered_at")
     )
-    return K.cooldown(hits).select("rule_id", "triggered_at")
+    return K.cooldown(stored(hits, "triggers")).select("rule_id", "triggered_at")
 
 
 # --- candles -------------------------------------------------------------------------------------
@@ -470,7 +475,7 @@ def list_rules_page(spark, sf_dir):
 
 @query
 def prev_candle(spark, sf_dir):
-    return I.previous_candle(hourly(spark, sf_dir)).select(
+    return I.previous_candle(series(spark, sf_dir)).select(
         *KEY, F.col("prev.open_time").alias("prev_time"), F.col("prev.close").alias("prev_close"),
         F.col("prev.volume").alias("prev_volume"),
     )
@@ -478,44 +483,44 @@ def prev_candle(spark, sf_dir):
 
 @query
 def moving_averages(spark, sf_dir):
-    return I.moving_averages(hourly(spark, sf_dir)).select(*KEY, "ma7", "ma25", "ma99")
+    return I.moving_averages(series(spark, sf_dir)).select(*KEY, "ma7", "ma25", "ma99")
 
 
 @query
 def bollinger(spark, sf_dir):
-    bands = I.bollinger(hourly(spark, sf_dir))
+    bands = I.bollinger(series(spark, sf_dir))
     return bands.select(*KEY, *[F.round(c, 6).alias(c) for c in ("bb_lower", "bb_middle", "bb_upper")])
 
 
 @query
 def rsi_14(spark, sf_dir):
-    return I.rsi(hourly(spark, sf_dir)).select(*KEY, F.round("rsi_14", 6).alias("rsi_14"))
+    return I.rsi(series(spark, sf_dir)).select(*KEY, F.round("rsi_14", 6).alias("rsi_14"))
 
 
 @query
 def macd(spark, sf_dir):
-    lines = I.macd(hourly(spark, sf_dir))
+    lines = I.macd(series(spark, sf_dir))
     return lines.select(*KEY, *[F.round(c, 6).alias(c) for c in ("macd", "macd_signal", "macd_hist")])
 
 
 @query
 def atr_14(spark, sf_dir):
-    return I.atr(hourly(spark, sf_dir)).select(*KEY, F.round("atr_14", 6).alias("atr_14"))
+    return I.atr(series(spark, sf_dir)).select(*KEY, F.round("atr_14", 6).alias("atr_14"))
 
 
 @query
 def volume_ratio(spark, sf_dir):
-    return I.volume_ratio(hourly(spark, sf_dir)).select(*KEY, "volume_ratio")
+    return I.volume_ratio(series(spark, sf_dir)).select(*KEY, "volume_ratio")
 
 
 @query
 def price_change_pct(spark, sf_dir):
-    return I.price_change(hourly(spark, sf_dir)).select(*KEY, "price_change_pct")
+    return I.price_change(series(spark, sf_dir)).select(*KEY, "price_change_pct")
 
 
 @query
 def candle_pattern(spark, sf_dir):
-    return I.candle_pattern(hourly(spark, sf_dir)).select(*KEY, "candle_pattern")
+    return I.candle_pattern(series(spark, sf_dir)).select(*KEY, "candle_pattern")
 
 
 # --- tables --------------------------------------------------------------------------------------
@@ -580,7 +585,8 @@ def rules_toggle(spark, sf_dir):
 
 @query
 def rules_apply_log(spark, sf_dir):
-    return _shown(L.apply_changes(feeds.stored_rules(spark, sf_dir), feeds.rule_changes(spark, sf_dir)))
+    changes = stored(feeds.rule_changes(spark, sf_dir), "changes")
+    return _shown(L.apply_changes(feeds.stored_rules(spark, sf_dir), changes))
 
 
 # --- streams -------------------------------------------------------------------------------------
@@ -605,8 +611,9 @@ def stream_dedup(spark, sf_dir):
 @query
 def stream_rules(spark, sf_dir):
     gold = shared_dir(spark, "indicator-candles")
-    hourly_indicators(spark, sf_dir).write.parquet(gold)
-    candles = spark.readStream.schema(spark.read.parquet(gold).schema).parquet(gold)
+    made = hourly_indicators(spark, sf_dir)
+    made.write.parquet(gold)
+    candles = spark.readStream.schema(made.schema).parquet(gold)
     path = shared_dir(spark, "rule-alerts")
     jobs.stream_alerts(
         candles, lambda: feeds.rules(spark, sf_dir), path, f"{path}-state"
@@ -655,9 +662,8 @@ def medallion_run(spark, sf_dir):
 @query
 def ml_forest(spark, sf_dir):
     """Predictions of a forest trained on four fifths of the time span, for the rest."""
-    rows = shared_dir(spark, "training")
-    M.labelled(hourly_indicators(spark, sf_dir).drop("prev")).write.parquet(rows)
-    data = spark.read.parquet(rows)
+    candles = stored(hourly_indicators(spark, sf_dir).drop("prev"), "indicators")
+    data = stored(M.labelled(candles), "training")
     cut = moment("2024-01-25 00:00:00")
     model = M.train_forest(data.filter(F.col("open_time") < cut))
     return model.transform(data.filter(F.col("open_time") >= cut)).select(*KEY, "label", "prediction")
@@ -665,7 +671,5 @@ def ml_forest(spark, sf_dir):
 
 @query
 def ml_kmeans(spark, sf_dir):
-    rows = shared_dir(spark, "vectors")
-    hourly_indicators(spark, sf_dir).drop("prev").dropna(subset=M.FEATURES).write.parquet(rows)
-    data = spark.read.parquet(rows)
+    data = stored(hourly_indicators(spark, sf_dir).drop("prev").dropna(subset=M.FEATURES), "vectors")
     return M.train_clusters(data).transform(data).select(*KEY, "prediction")

@@ -30,6 +30,17 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The same rows read back from a table in the shared folder.
+
+    For results used more than once: they are computed once, and losing an executor later does not
+    bring back the work before this point.
+    """
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def small_enough(df: DataFrame, max_rows: int = 100_000, max_bytes: int = 64 << 20) -> bool:
     """Measure a side before broadcasting it: at most max_rows rows and max_bytes as JSON text."""
     width = F.octet_length(F.to_json(F.struct("*")))
