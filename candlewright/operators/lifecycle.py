@@ -109,16 +109,13 @@ def apply_changes(rules: DataFrame, changes: DataFrame) -> DataFrame:
         .filter(F.col("_rule").isNull() | F.col("_goes_on") | F.col("_started").isNotNull())
     )
     anew = F.col("_started").isNotNull()
-    begun = R.with_defaults(
-        both.filter(anew).select(
-            *[c for c in both.columns if c not in RULE_COLUMNS], "rule_id",
-            F.col("_owner").alias("user_id"), "_new.*",
-            F.col("_started").alias("created_at"), F.col("_started").alias("updated_at"),
-            F.lit(None).cast("timestamp").alias("last_triggered_at"), F.lit(0).alias("trigger_count"),
-        )
-    )
+    fresh = {
+        "user_id": F.col("_owner"), "created_at": F.col("_started"), "updated_at": F.col("_started"),
+        "last_triggered_at": F.lit(None).cast("timestamp"), "trigger_count": F.lit(0),
+        **{c: F.col(f"_new.{c}") for c in ("symbol", "timeframe", *PATCHED)},
+    }
     return (
-        both.filter(~anew).unionByName(begun)
+        both.withColumns({c: F.when(anew, new).otherwise(F.col(c)) for c, new in fresh.items()})
         .withColumns({c: F.coalesce(f"_p_{c}", c) for c in PATCHED})
         .withColumn("is_active", _flipped("_flips"))
         .withColumn("updated_at", F.coalesce("_acted", "updated_at"))
@@ -168,7 +165,11 @@ def _effects(changes: DataFrame, owners: DataFrame) -> DataFrame:
     def since(at: str) -> Column:
         return F.col("_goes_on") | (F.col(at) > F.col("_started"))
 
-    return raw.withColumns({
+    created = ["symbol", "timeframe", *PATCHED]
+    defaulted = R.with_defaults(raw.select(*[c for c in raw.columns if c != "_new"], "_new.*")).select(
+        *[c for c in raw.columns if c != "_new"], F.struct(*created).alias("_new")
+    )
+    return defaulted.withColumns({
         **{f"_p_{c}": F.when(since(f"_at_{c}"), F.col(f"_p_{c}")) for c in PATCHED},
         "_acted": F.when(since("_acted"), F.col("_acted")),
         # Toggles count from the start of the rule or the latest patch of is_active.
