@@ -8,14 +8,18 @@ def exact_sum(value: Column) -> Column:
     """Sum of doubles to nine decimals, identical whatever order tasks deliver the rows in.
 
     Whole and fractional parts add up as integers, so the aggregate stays a hash aggregate on
-    primitive buffers; the decimal arithmetic happens once per group.
+    primitive buffers; the decimal arithmetic happens once per group. A group with NaN, or with
+    values so large that doubles hold no nine decimals, gets the ordinary sum.
     """
-    whole = F.floor(value)
-    nanos = F.rint((value - whole) * 1e9).cast("bigint")
-    return (
-        F.sum(whole).cast("decimal(29,9)")
-        + F.sum(nanos).cast("decimal(19,0)") * F.lit("0.000000001").cast("decimal(9,9)")
+    unusual = F.isnan(value) | (F.abs(value) >= 1e12)
+    plain = F.when(unusual, 0.0).otherwise(value)
+    whole = F.floor(plain)
+    nanos = F.rint((plain - whole) * 1e9).cast("bigint")
+    exact = (
+        F.try_sum(whole).cast("decimal(29,9)")
+        + F.try_sum(nanos).cast("decimal(19,0)") * F.lit("0.000000001").cast("decimal(9,9)")
     ).cast("double")
+    return F.coalesce(F.when(~F.max(unusual), exact), F.sum(value))
 
 
 # Fixed value: the texts that parse as a number (a trailing type letter such as 1.0d does not).

@@ -14,20 +14,24 @@ def _trade_order(ts: Column, trade_id: Column) -> Column:
     # One decimal instead of struct(ts, trade_id): a struct in an aggregation buffer rules out hash
     # aggregation, and every task would sort its raw ticks before combining them.
     return (
-        F.unix_micros(ts).cast("decimal(19,0)") * F.lit(Decimal(10**19))
-        + trade_id.cast("decimal(19,0)")
+        F.unix_micros(ts).cast("decimal(19,0)") * F.lit(Decimal(10**20))
+        + F.coalesce(trade_id, F.lit(0)).cast("decimal(19,0)")
     ).cast("decimal(38,0)")
 
 
-def candles(ticks: DataFrame, timeframe: str) -> DataFrame:
+def candles(ticks: DataFrame, timeframe: str, by_sequence: bool = False) -> DataFrame:
     """OHLCV per symbol and tumbling window, with traded value and VWAP.
 
     Groups are (symbol, window) and every aggregate combines map-side, so a symbol holding most of
     the ticks sends one partial row per task and window into the shuffle. Works on streams as is.
+
+    First and last trade go by time, then trade id. Where ids are known to rise with time, as an
+    exchange's sequence numbers do, ``by_sequence`` orders by id alone, several times cheaper.
     """
     span = F.window("ts", window_length(timeframe))
+    order = F.col("trade_id") if by_sequence else _trade_order(F.col("ts"), F.col("trade_id"))
     return (
-        ticks.withColumn("_order", _trade_order(F.col("ts"), F.col("trade_id")))
+        ticks.withColumn("_order", order)
         .groupBy("symbol", span.alias("_span"))
         .agg(
             F.min_by("price", "_order").alias("open"),

@@ -1,8 +1,9 @@
 """Cooldown: after a rule fires, its triggers within cooldown_seconds are suppressed.
 
 Whether a trigger fires depends on all earlier ones, yet one rule can own a third of all triggers, so
-a rule is not gathered into one group. Its triggers are cut by time into chunks of at most
-CHUNK_CANDLES (a rule triggers at most once per candle). What a chunk does to the state - "the time
+a rule is not gathered into one group. Its triggers are cut by time into chunks, each at least
+CHUNK_CANDLES long and many times longer than a cooldown can be (a rule triggers at most once per
+candle, so a chunk of minute candles has at most 23,040 triggers). What a chunk does to the state - "the time
 from which the rule may fire again" - depends only on which trigger fires first, and only triggers
 within one cooldown of the chunk's start can be that one. Chunks are summed up that way in parallel,
 the summaries of a rule are chained, and every chunk then marks its own triggers.
@@ -14,9 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from candlewright.fixed import MAX_COOLDOWN
 from candlewright.functions.timeframes import seconds_of
 
 CHUNK_CANDLES = 2048
+CHUNK_COOLDOWNS = 16
 # Types as objects: type text would need a running session when this module is imported.
 EXIT = T.StructType([T.StructField("t", T.LongType()), T.StructField("ready", T.LongType())])
 
@@ -53,7 +56,7 @@ def _fires(times: pd.Series, wait: pd.Series, ready: pd.Series) -> pd.Series:
 def fired(triggers: DataFrame, at: Column, wait: Column) -> DataFrame:
     """(rule_id, micros) of the triggers that fire. ``at`` is event time, ``wait`` seconds."""
     slot = F.coalesce(seconds_of(F.col("timeframe")), F.lit(60)).cast("bigint")
-    length = slot * (CHUNK_CANDLES * 1_000_000)
+    length = F.greatest(slot * CHUNK_CANDLES, F.lit(MAX_COOLDOWN * CHUNK_COOLDOWNS).cast("bigint")) * 1_000_000
     chunks = (
         triggers.select(
             "rule_id", F.unix_micros(at).alias("_t"), (wait.cast("bigint") * 1_000_000).alias("_w"),

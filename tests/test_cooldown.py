@@ -17,6 +17,7 @@ def sequential(times, wait):
 def test_chunks_chain_to_the_sequential_result(spark, monkeypatch):
     # Chunks of eight candles: a cooldown spans several, some chunks are empty, a hot rule has most rows.
     monkeypatch.setattr(K, "CHUNK_CANDLES", 8)
+    monkeypatch.setattr(K, "CHUNK_COOLDOWNS", 0)
     rng = random.Random(11)
     times = {
         ("hot", 300): list(range(0, 60 * 2000, 60)),

@@ -46,3 +46,12 @@ def test_exact_sum_ignores_order(spark):
     for parts in (1, 4, 13):
         df = spark.createDataFrame([(v,) for v in values], "v double").repartition(parts)
         assert df.agg(exact_sum(F.col("v"))).first()[0] == want
+
+
+def test_exact_sum_of_unusual_values(spark):
+    inf, nan = math.inf, math.nan
+    groups = {"nan": [1.0, nan], "inf": [1.0, inf], "big": [9e18, 9e18, 1.0], "null": [None, None], "some": [None, 2.5], "neg": [-0.1, -0.2]}
+    rows = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs], "k string, v double")
+    got = {r.k: r.s for r in rows.groupBy("k").agg(exact_sum(F.col("v")).alias("s")).collect()}
+    assert math.isnan(got["nan"]) and got["inf"] == inf and got["big"] == 1.8e19
+    assert got["null"] is None and got["some"] == 2.5 and got["neg"] == -0.3

@@ -120,6 +120,11 @@ def test_roll_up_equals_direct_aggregation(spark, sf_dir):
         assert direct.exceptAll(C.roll_up(minute, name)).count() == 0
 
 
+def test_sequence_order_gives_the_same_candles_where_ids_rise_with_time(spark, sf_dir):
+    ticks = feeds.ticks(spark, sf_dir)
+    assert C.candles(ticks, "1h").exceptAll(C.candles(ticks, "1h", by_sequence=True)).count() == 0
+
+
 def test_a_tie_in_time_falls_to_the_trade_id(spark):
     ticks = spark.createDataFrame(
         [("A", 5.0, 1.0, 7), ("A", 6.0, 1.0, 9), ("A", 4.0, 1.0, 3)], "symbol string, price double, quantity double, trade_id bigint"
