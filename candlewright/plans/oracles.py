@@ -52,20 +52,13 @@ def _mean(column: str, n: int) -> str:
     )
 
 
-def _is(field: str, when: str) -> str:
-    return f"CASE WHEN {when} THEN '✓' ELSE '✗' END"
-
-
 KIND = "((c_custkey // 5) % 6)"
 
-# Each rule kind: its conditions as (text, test), how they combine, per custkey k and candle row.
-_NUM = "CASE WHEN {0} = floor({0}) THEN {0}::bigint::varchar || '.0' ELSE {0}::varchar END"
-
-
 def _n(expression: str) -> str:
     return f"({expression})::double::varchar"
 
 
+# Each rule kind: its conditions as (words, value, field, test), for customer key k and a candle row.
 CONDITIONS = {
     0: [("rsi_14 < ", _n("25 + k % 10"), "rsi_14", "rsi_14 < 25 + k % 10"),
         ("volume_ratio > ", _n("1 + (k % 7) / 5"), "volume_ratio", "volume_ratio > 1 + (k % 7) / 5")],

@@ -122,13 +122,10 @@ def stored_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules as users submit them, with every kind of mistake somewhere."""
-    k = F.col("c_custkey")
-    customers = table(spark, sf_dir, "customer")
-    parsed = rules_of(customers)
+    parsed = rules_of(table(spark, sf_dir, "customer"))
     number = F.regexp_extract("rule_id", r"(\d+)$", 1).cast("bigint")
     extra = F.expr("transform(sequence(1, 11), i -> struct('close' AS field, '>' AS operator, "
                    "cast(i AS double) AS value_num, cast(null AS string) AS value_str))")
-    del k, customers
     return (
         parsed.withColumn("_k", number)
         .withColumn("symbol", F.when(F.col("_k") % 2 == 0, F.col("symbol")).otherwise(F.initcap("symbol")))
