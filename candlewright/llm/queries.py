@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from candlewright.llm import bpe, chat, packing, topk, warc
 from candlewright.llm.common import table
 from candlewright.llm.exact import exact_documents
 from candlewright.llm.simhash import near_documents
@@ -15,12 +16,81 @@ def query(function):
     return function
 
 
+def vocabulary(name):
+    """A public tokenizer's file, in the same place on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op1_warc(spark, sf_dir):
+    index = warc.archive(table(spark, sf_dir, "pages"))
+    return warc.read_records(index, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+@query
+def op3_exact_top_k(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", topk.scaled(F.col("embedding")).alias("vector"))
+    return topk.top_k(vectors, lambda vec_id: vec_id % 50 == 0)
+
+
+@query
+def op4_byte_bpe(spark, sf_dir):
+    path = vocabulary("byte_bpe_50k.tiktoken")
+    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op5_packing(spark, sf_dir):
+    pieces = packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 @query
 def op7_simhash_near_dedup(spark, sf_dir):
     found = near_documents(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op9_chat_format(spark, sf_dir):
+    reply = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame(
+        [(-7, 0, "user", reply), (-7, 1, "assistant", reply)], "conv_id long, turn long, role string, text string"
+    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(probe)
+    back = chat.read_back(chat.windows(turns)).select(
+        "conv_id",
+        F.struct(
+            "window",
+            F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "").alias("turns"),
+            F.array_join("targets", "").alias("targets"),
+        ).alias("part"),
+        F.size("turns").alias("n"),
+        F.char_length("text").alias("chars"),
+    )
+    whole = back.groupBy("conv_id").agg(
+        F.array_sort(F.collect_list("part")).alias("parts"), F.sum("n").alias("n_turns"), F.sum("chars").alias("formatted_chars")
+    )
+    turns_text, loss_text = F.array_join("parts.turns", ""), F.array_join("parts.targets", "")
+    return whole.select(
+        "conv_id", "n_turns", F.sha2(turns_text.cast("binary"), 256).alias("turns_sha256"),
+        F.char_length(loss_text).cast("long").alias("loss_chars"), F.sha2(loss_text.cast("binary"), 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 @query
 def op10_exact_dedup(spark, sf_dir):
     return exact_documents(spark, f"{sf_dir}/documents.parquet")
@@ -35,3 +105,34 @@ g AS (SELECT *, count(*) OVER (PARTITION BY text_sha256) AS group_size,
          first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY cp DESC, doc_id) AS keep_id FROM t)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 """
+
+ORACLES["op3_exact_top_k"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND NOT list_bool_or(list_transform(embedding, lambda x: x IS NULL OR NOT isfinite(x)))),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p) WHERE rank <= 5
+"""
+
+ORACLES["op9_chat_format"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, unnest([0, 1]), unnest(['user', 'assistant']), '</s>[INST] ok [/INST]'),
+k AS (SELECT *, (length(text) + 3) // 4 + 1 AS tokens,
+  length(text) + len(regexp_extract_all(text, '[\\<\[|]')) + length(role) + len(regexp_extract_all(role, '[\\<\[|]')) + 10 AS chars FROM t),
+p AS (SELECT *, row_number() OVER w AS nth, sum(tokens) OVER w AS "end" FROM k
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+s AS (SELECT *, ("end" - tokens) // 768 AS span FROM p),
+e AS (SELECT *, max("end") OVER (PARTITION BY conv_id, span) AS span_end, nth = 1 AND role = 'system' AS opening FROM s),
+spans AS (SELECT DISTINCT conv_id, span FROM e),
+near AS (SELECT e.conv_id, sum(e.chars) AS chars FROM e JOIN spans n ON n.conv_id = e.conv_id AND n.span = e.span_end // 768
+  WHERE NOT e.opening AND e.span_end - ("end" - e.tokens) <= 256 AND e.span <> n.span GROUP BY ALL),
+heads AS (SELECT e.conv_id, sum(e.chars) AS chars FROM e JOIN spans n ON n.conv_id = e.conv_id AND n.span <> e.span WHERE e.opening GROUP BY ALL),
+c AS (SELECT conv_id, count(*) AS n_turns, sum(chars) AS chars,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS loss FROM k GROUP BY conv_id)
+SELECT c.conv_id, n_turns, turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+  (c.chars + coalesce(near.chars, 0) + coalesce(heads.chars, 0))::BIGINT AS formatted_chars
+FROM c LEFT JOIN near USING (conv_id) LEFT JOIN heads USING (conv_id)
+"""
