@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from candlewright.llm import bpe, chat, packing, topk, warc
+from candlewright.llm import bpe, chat, langid, packing, topk, warc
 from candlewright.llm.common import table
 from candlewright.llm.exact import exact_documents
 from candlewright.llm.simhash import near_documents
@@ -57,6 +57,15 @@ def op5_packing(spark, sf_dir):
     )
 
 
+@query
+def op6_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    carried = F.struct(F.col("doc_id").cast("long").alias("doc_id"), langid.held_out().alias("held_out"))
+    return langid.identify(docs, langid.fit(docs), carried).select(
+        "row.doc_id", "row.held_out", "lang_pred", "score", "rejected"
+    )
+
+
 @query
 def op7_simhash_near_dedup(spark, sf_dir):
     found = near_documents(table(spark, sf_dir, "documents"))
