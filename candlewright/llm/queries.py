@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from candlewright.llm import bpe, chat, langid, packing, topk, warc
+from candlewright.llm import bpe, chat, langid, lines, packing, topk, warc
 from candlewright.llm.common import table
 from candlewright.llm.exact import exact_documents
 from candlewright.llm.simhash import near_documents
@@ -31,6 +31,16 @@ def op1_warc(spark, sf_dir):
     )
 
 
+@query
+def op2_line_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.size(F.split("text", "\n")).alias("n_lines"))
+    return lines.without_repeats(docs).select(
+        "doc_id", "n_lines",
+        F.when(F.char_length("text") == 0, 0).otherwise(F.size(F.split("text", "\n"))).alias("n_kept"),
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op3_exact_top_k(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", topk.scaled(F.col("embedding")).alias("vector"))
