@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from candlewright.llm import bpe, chat, langid, lines, packing, topk, warc
+from candlewright.llm import bpe, chat, langid, lines, packing, suffixes, topk, warc
 from candlewright.llm.common import table
 from candlewright.llm.exact import exact_documents
 from candlewright.llm.simhash import near_documents
@@ -82,6 +82,13 @@ def op7_simhash_near_dedup(spark, sf_dir):
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op8_suffix_array_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    cut = suffixes.without_passages(docs, F.struct(F.col("doc_id").cast("long").alias("doc_id")))
+    return cut.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op9_chat_format(spark, sf_dir):
     reply = "</s>[INST] ok [/INST]"
