@@ -33,6 +33,15 @@ def thinned(rows: DataFrame, key: str, wanted: DataFrame, slots: int = 1 << 18)
     What is broadcast is the set of ``key`` modulo ``slots``, so at most ``slots`` longs whatever the
     data. It never drops a row that joins; with very many wanted keys it merely keeps all rows.
     """
+    return _by_slot(rows, key, wanted, slots, "left_semi")
+
+
+def untouched(rows: DataFrame, key: str, wanted: DataFrame, slots: int = 1 << 18) -> DataFrame:
+    """The rows that ``thinned`` leaves out: certain not to join, so they need no shuffle."""
+    return _by_slot(rows, key, wanted, slots, "left_anti")
+
+
+def _by_slot(rows, key, wanted, slots, how):
     slot = F.pmod(F.col(key), F.lit(slots))
     hit = wanted.select(slot.alias("__slot")).distinct()
-    return rows.join(F.broadcast(hit), slot == F.col("__slot"), "left_semi")
+    return rows.join(F.broadcast(hit), slot == F.col("__slot"), how)

@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewright.llm.common import row_key
+from candlewright.llm.common import row_key, thinned, untouched
 from candlewright.llm.components import components
 from candlewright.session import stored
 
@@ -100,6 +100,8 @@ def near_documents(
 ) -> DataFrame:
     """Per row: doc_id, row_key, fp, component_id (smallest doc_id reachable over near fingerprints).
 
+    ``root`` names the component by a fingerprint, so also one without any doc_id.
+
     Null and blank texts have fingerprint zero and link like any other. A null doc_id never names a
     component unless it has no other member. Repeated rows get the same answer. Extra columns are
     not read. An empty table gives an empty result.
@@ -112,4 +114,24 @@ def near_documents(
     )
     rooted = stored(rooted, "rooted")
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints.join(rooted.join(named, "root").select("fp", "component_id"), "fp")
+    return prints.join(rooted.join(named, "root").select("fp", "root", "component_id"), "fp")
+
+
+def one_of_each(docs: DataFrame, id_col="doc_id", text_col="text", words: int = 3, distance: int = 3) -> DataFrame:
+    """One row, with all its columns, of each component: that of smallest doc_id (null last).
+
+    Among rows of that id the one of smallest row key stays, and of rows alike in id and text any one.
+    Only rows that may go, or may have a double, are shuffled with their text.
+    """
+    found = stored(near_documents(docs, id_col, text_col, words, distance), "near-documents")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_key")
+    stays = found.groupBy("root").agg(F.min(order).alias("stays")).select("stays.row_key").withColumn("stays", F.lit(True))
+    touched = found.groupBy("row_key").agg(F.count("*").alias("n")).join(stays, "row_key", "left").where("stays IS NULL OR n > 1")
+    touched = stored(touched, "touched")
+    rows = docs.select(F.struct("*").alias("__row"), row_key(id_col, text_col).alias("__key"))
+    marked = thinned(rows, "__key", touched.select(F.col("row_key").alias("__key"))).join(
+        touched, F.col("__key") == F.col("row_key"), "left"
+    )
+    alone = untouched(rows, "__key", touched.select(F.col("row_key").alias("__key"))).select("__row", "__key")
+    double = marked.where("stays").dropDuplicates(["__key"])
+    return alone.union(marked.where("row_key IS NULL").select("__row", "__key")).union(double.select("__row", "__key")).select("__row.*")

@@ -5,7 +5,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewright.llm.common import row_key, thinned
+from candlewright.llm.common import row_key, thinned, untouched
 from candlewright.session import stored
 
 LENGTH = 200  # bytes of a repeated string
@@ -299,9 +299,6 @@ def without_passages(docs: DataFrame, carried: Column, id_col="doc_id", text_col
     rows = docs.select(
         key.alias("row_key"), carried.alias("row"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")
     )
-    slot = F.pmod("row_key", F.lit(SLOTS))
-    taken = spans.select(slot.alias("taken")).distinct()
-    untouched = rows.join(F.broadcast(taken), slot == F.col("taken"), "left_anti")
     joined = thinned(rows, "row_key", spans, SLOTS).join(spans, "row_key", "left").drop("row_key")
 
     def cut(batches):
@@ -327,4 +324,4 @@ def without_passages(docs: DataFrame, carried: Column, id_col="doc_id", text_col
     kind = rows.schema["row"].dataType.simpleString()
     changed = joined.select("row", "text", "spans").mapInArrow(cut, f"row {kind}, kept binary, n_bytes long, n_removed long, n_spans long")
     none = F.lit(0).cast("long")
-    return changed.union(untouched.select("row", "text", F.octet_length("text").cast("long"), none, none))
+    return changed.union(untouched(rows, "row_key", spans, SLOTS).select("row", "text", F.octet_length("text").cast("long"), none, none))

@@ -10,7 +10,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewright.llm.common import thinned
+from candlewright.llm.common import thinned, untouched
 from candlewright.session import shared_dir, stored
 
 # Fixed values of the format.
@@ -60,10 +60,7 @@ def revisits(pages: DataFrame, id_col="page_id", url_col="url", html_col="html",
         "repeated-payloads",
     )
     found = thinned(rows, "slot", repeated).join(repeated.drop("slot", "n"), "key", "left")
-    slots = 1 << 18
-    slot = F.pmod(F.col("slot"), F.lit(slots))
-    taken = repeated.select(slot.alias("taken")).distinct()
-    single = rows.join(F.broadcast(taken), slot == F.col("taken"), "left_anti").union(
+    single = untouched(rows, "slot", repeated).union(
         found.where("first IS NULL").select(rows.columns)
     )
     is_first = F.col("page_id").eqNullSafe(F.col("first.page_id")) & F.col("url").eqNullSafe(F.col("first.url"))
