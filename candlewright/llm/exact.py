@@ -8,6 +8,12 @@ from candlewright.session import ROCKSDB, shared_dir, stored
 
 #: Bytes a micro-batch takes in.
 BATCH_BYTES = 16 << 30
+#: State on disk; a batch uploads what it changed, and files are not allotted ahead of use.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def normalised(text_col: str = "text"):
@@ -63,13 +69,14 @@ def digest_state(
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key)
-    spark.conf.set(key, ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in STATE}
+    for key, value in STATE.items():
+        spark.conf.set(key, value)
     try:
         state.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", log).trigger(availableNow=True).start().awaitTermination()
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
     written = spark.read.schema(state.schema.add("batch", "long")).parquet(out)
     return written.groupBy("digest").agg(F.max_by("keep", "batch").alias("keep"), F.max("group_size").alias("group_size"))
 
