@@ -8,12 +8,20 @@ from pyspark.sql import functions as F
 
 #: The characters of [\x20\x09-\x0D].
 BLANKS = " \t\n\x0b\x0c\r"
+#: Longs that a filter ahead of a shuffle broadcasts at most.
+SLOTS = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Few rows and bytes to an Arrow batch, so that tasks with long texts stay small."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
+
 def per_worker(name: str, build):
     """What ``build`` returns, made once in each Python worker and kept for its later tasks."""
     kept = sys.modules.setdefault("_candlewright_worker", types.ModuleType("_candlewright_worker"))
@@ -27,7 +35,7 @@ def row_key(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
-def thinned(rows: DataFrame, key: str, wanted: DataFrame, slots: int = 1 << 18) -> DataFrame:
+def thinned(rows: DataFrame, key: str, wanted: DataFrame, slots: int = SLOTS) -> DataFrame:
     """Rows that may join ``wanted`` on a long column: a filter ahead of the join's shuffle.
 
     What is broadcast is the set of ``key`` modulo ``slots``, so at most ``slots`` longs whatever the
@@ -36,7 +44,7 @@ def thinned(rows: DataFrame, key: str, wanted: DataFrame, slots: int = 1 << 18)
     return _by_slot(rows, key, wanted, slots, "left_semi")
 
 
-def untouched(rows: DataFrame, key: str, wanted: DataFrame, slots: int = 1 << 18) -> DataFrame:
+def untouched(rows: DataFrame, key: str, wanted: DataFrame, slots: int = SLOTS) -> DataFrame:
     """The rows that ``thinned`` leaves out: certain not to join, so they need no shuffle."""
     return _by_slot(rows, key, wanted, slots, "left_anti")
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from candlewright.llm import bpe, chat, langid, lines, packing, suffixes, topk, warc
-from candlewright.llm.common import table
+from candlewright.llm.common import bounded_batches, table
 from candlewright.llm.exact import exact_documents
 from candlewright.llm.simhash import near_documents
 
@@ -12,8 +12,12 @@ ORACLES = {}
 
 
 def query(function):
-    QUERIES[function.__name__] = function
-    return function
+    def run(spark, sf_dir):
+        bounded_batches(spark)
+        return function(spark, sf_dir)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 def vocabulary(name):

@@ -10,10 +10,9 @@ from candlewright.session import stored
 
 LENGTH = 200  # bytes of a repeated string
 GRAM = 96  # bytes of the substring that names a window's class
-SLICE = 1 << 20  # bytes of a document scanned at a time
-BUCKET = 2 << 20  # bytes of text sorted at a time
-CLASS_LIMIT = 1 << 20  # bytes of one class's contexts; beyond it windows are counted as rows
-SLOTS = 1 << 20
+SLICE = 1 << 18  # bytes of a document scanned at a time
+BUCKET = 1 << 19  # bytes of text sorted at a time
+CLASS_LIMIT = 1 << 19  # bytes of one class's contexts; beyond it windows are counted as rows
 
 _numbers = np.random.default_rng(20_240_101)
 BYTE_CODES = _numbers.integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -206,7 +205,7 @@ def _sorted_in_buckets(contexts: DataFrame, total: int) -> DataFrame:
         if held:
             yield solved(held)
 
-    parts = max(1, -(-total // (2 * BUCKET)))
+    parts = max(1, -(-total // (4 * BUCKET)))
     return (
         contexts.select("class", "context", "text").repartition(parts, "class").sortWithinPartitions("class")
         .mapInArrow(rows, f"class long, context long, spans {SPANS}")
@@ -250,7 +249,7 @@ def covered(docs: DataFrame, key: Column, text_col="text", class_limit: int = CL
         .where("n > 1").select("class", (F.col("a") != F.col("b")).alias("differ")),
         "classes",
     )
-    again = stored(thinned(found, "class", classes, SLOTS).join(classes, "class"), "repeated-runs")
+    again = stored(thinned(found, "class", classes).join(classes, "class"), "repeated-runs")
     whole = F.array(F.struct(F.lit(0).cast("long").alias("lo"), (F.col("more") + LENGTH).alias("hi")))
     alike = again.where("NOT differ").select("row_key", "start", whole.alias("spans"))
     differ = again.where("differ")
@@ -263,7 +262,7 @@ def covered(docs: DataFrame, key: Column, text_col="text", class_limit: int = CL
     )
     texts = docs.select(key.alias("row_key"), F.col(text_col).cast("binary").alias("text"))
     cut = (
-        thinned(texts, "row_key", contexts.select(F.col("at.row_key").alias("row_key")), SLOTS)
+        thinned(texts, "row_key", contexts.select(F.col("at.row_key").alias("row_key")))
         .join(wanted, "row_key")
         .select("text", F.explode("cuts").alias("cut"))
         .select("cut.class", "cut.context", F.substring(F.col("text"), (F.col("cut.start") + 1).cast("int"), (F.col("cut.more") + LENGTH).cast("int")).alias("text"))
@@ -299,7 +298,7 @@ def without_passages(docs: DataFrame, carried: Column, id_col="doc_id", text_col
     rows = docs.select(
         key.alias("row_key"), carried.alias("row"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")
     )
-    joined = thinned(rows, "row_key", spans, SLOTS).join(spans, "row_key", "left").drop("row_key")
+    joined = thinned(rows, "row_key", spans).join(spans, "row_key", "left").drop("row_key")
 
     def cut(batches):
         for batch in batches:
@@ -324,4 +323,4 @@ def without_passages(docs: DataFrame, carried: Column, id_col="doc_id", text_col
     kind = rows.schema["row"].dataType.simpleString()
     changed = joined.select("row", "text", "spans").mapInArrow(cut, f"row {kind}, kept binary, n_bytes long, n_removed long, n_spans long")
     none = F.lit(0).cast("long")
-    return changed.union(untouched(rows, "row_key", spans, SLOTS).select("row", "text", F.octet_length("text").cast("long"), none, none))
+    return changed.union(untouched(rows, "row_key", spans).select("row", "text", F.octet_length("text").cast("long"), none, none))
