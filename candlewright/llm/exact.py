@@ -55,12 +55,8 @@ def digest_state(
     out, log = shared_dir(spark, "digest-state"), shared_dir(spark, "digest-log")
     path = path.rstrip("/")
     either = f"{path[:-1]}[{path[-1]}]"  # as a pattern, a stream takes one file as well as a folder
-    source = (
-        spark.readStream.schema(spark.read.parquet(path).schema)
-        .option("maxBytesPerTrigger", batch_bytes)
-    )
-    if max_files:
-        source = source.option("maxFilesPerTrigger", max_files)
+    size = ("maxFilesPerTrigger", max_files) if max_files else ("maxBytesPerTrigger", batch_bytes)
+    source = spark.readStream.schema(spark.read.parquet(path).schema).option(*size)
     state = (
         _read(source.parquet(either), id_col, text_col, digest)
         .groupBy("digest").agg(F.max("row").alias("keep"), F.count("*").alias("group_size"))
