@@ -5,21 +5,50 @@ from pyspark.sql import functions as F
 
 
 def exact_sum(value: Column) -> Column:
-    """Sum of doubles to nine decimals, identical whatever order tasks deliver the rows in.
+    """Sum of doubles as the decimals they print as, identical whatever order tasks deliver the rows in.
 
-    Whole and fractional parts add up as integers, so the aggregate stays a hash aggregate on
-    primitive buffers; the decimal arithmetic happens once per group. A group with NaN, or with
-    values so large that doubles hold no nine decimals, gets the ordinary sum.
+    Whole parts and nine decimals add up as integers, so the aggregate stays a hash aggregate. What a
+    value has beyond nine decimals is added as a decimal of 28, what has ten or more digits before
+    the point (and so no more than eight after it) as a decimal of 9; both buffers stay empty for
+    ordinary trades. The total is rounded to a double once. A sum that 38 digits cannot hold raises.
+    NaN and infinities give the ordinary sum, which for them does not depend on order.
     """
-    unusual = F.isnan(value) | (F.abs(value) >= 1e12)
-    plain = F.when(unusual, 0.0).otherwise(value)
+    special = F.isnan(value) | (F.abs(value) == float("inf"))
+    large = F.abs(value) >= 1e9
+    plain = F.when(special | large, 0.0).otherwise(value)
     whole = F.floor(plain)
     nanos = F.rint((plain - whole) * 1e9).cast("bigint")
+    nano = F.lit("0.000000001").cast("decimal(9,9)")
+    rounded = whole.cast("decimal(10,0)") + nanos.cast("decimal(10,0)") * nano
+    finer = F.when(
+        ~special & ~large & (whole + nanos / 1e9 != plain),
+        plain.cast("decimal(37,28)") - rounded.cast("decimal(37,28)"),
+    ).cast("decimal(28,28)")
+    # Types leave one digit for the carry: a sum of two full ones would lose its last decimal.
+    high = F.coalesce(F.sum(F.when(large & ~special, value).cast("decimal(28,9)")).cast("decimal(36,9)"), F.lit(0).cast("decimal(36,9)"))
+    low = F.sum(whole).cast("decimal(29,9)") + F.sum(nanos).cast("decimal(19,0)") * nano
+    base = (low + high).cast("decimal(38,9)")
+    rest = F.coalesce(F.sum(finer), F.lit(0).cast("decimal(38,28)"))
+    # As many decimals as the digits before the point leave room for.
     exact = (
-        F.try_sum(whole).cast("decimal(29,9)")
-        + F.try_sum(nanos).cast("decimal(19,0)") * F.lit("0.000000001").cast("decimal(9,9)")
-    ).cast("double")
-    return F.coalesce(F.when(~F.max(unusual), exact), F.sum(value))
+        F.when(rest == 0, base.cast("double"))
+        .when(F.abs(base) < 1e9, (base.cast("decimal(37,28)") + rest.cast("decimal(37,28)")).cast("decimal(38,28)").cast("double"))
+        .when(F.abs(base) < 1e19, (base.cast("decimal(37,18)") + rest.cast("decimal(37,18)")).cast("decimal(38,18)").cast("double"))
+        .otherwise(base.cast("double"))
+    )
+    return F.coalesce(F.when(~F.max(special), exact), F.sum(value))
+
+
+def significant(value: Column) -> Column:
+    """A product of two doubles without its binary noise: the double next to its 15 leading digits.
+
+    The noise of a product starts in the 16th digit. Scaling is by a power of ten, exact up to 1e22,
+    and the division rounds once, so 0.1 * 3 gives 0.3; nothing is cut at a fixed decimal place.
+    """
+    digits = F.lit(14) - F.floor(F.log10(F.abs(value)))
+    scale = F.pow(F.lit(10.0), digits.cast("double"))
+    kept = (value != 0) & (digits >= 0) & (digits <= 300) & (F.abs(value) < float("inf"))
+    return F.when(kept, F.rint(value * scale) / scale).otherwise(value)
 
 
 # Fixed value: the texts that parse as a number (a trailing type letter such as 1.0d does not).

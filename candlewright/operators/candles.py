@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewright.fixed import TIMEFRAME_SECONDS
-from candlewright.functions.numbers import exact_sum
+from candlewright.functions.numbers import exact_sum, significant
 from candlewright.functions.timeframes import window_length
 
 
@@ -39,7 +39,7 @@ def candles(ticks: DataFrame, timeframe: str, by_sequence: bool = False) -> Data
             F.min("price").alias("low"),
             F.max_by("price", "_order").alias("close"),
             exact_sum(F.col("quantity")).alias("volume"),
-            exact_sum(F.col("price") * F.col("quantity")).alias("notional"),
+            exact_sum(significant(F.col("price") * F.col("quantity"))).alias("notional"),
         )
         .select(
             "symbol",
@@ -117,7 +117,7 @@ def typical_vwap(candle: DataFrame, timeframe: str) -> DataFrame:
     return (
         candle.groupBy("symbol", span.alias("_span"))
         .agg(
-            exact_sum(typical * F.col("volume")).alias("_value"),
+            exact_sum(significant(typical * F.col("volume"))).alias("_value"),
             exact_sum(F.col("volume")).alias("volume"),
         )
         .select(

@@ -1,6 +1,6 @@
 """Changes to the rules table, applied as a batch."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewright.operators import rules as R
@@ -24,9 +24,16 @@ def new_rules(requests: DataFrame, at: Column, rule_id: Column) -> DataFrame:
 
 
 def create(rules: DataFrame, requests: DataFrame, at: Column, rule_id: Column) -> DataFrame:
-    """The rules with the valid requests added; an id already taken is refused."""
+    """The rules with the valid requests added; an id already taken is refused.
+
+    Of requests that name one id in a batch the earliest by ``at`` is taken, then the smallest by owner
+    and content, so the choice does not depend on the order of rows.
+    """
     valid, _ = R.validate(requests)
-    added = new_rules(valid, at, rule_id).join(rules.select("rule_id"), "rule_id", "left_anti")
+    made = new_rules(valid, at, rule_id)
+    order = Window.partitionBy("rule_id").orderBy("created_at", "user_id", F.xxhash64(*RULE_COLUMNS))
+    first = made.withColumn("_nth", F.row_number().over(order)).filter("_nth = 1").drop("_nth")
+    added = first.join(rules.select("rule_id"), "rule_id", "left_anti")
     return rules.select(*RULE_COLUMNS).unionByName(added.select(*RULE_COLUMNS))
 
 
@@ -42,6 +49,24 @@ def _latest(column: Column) -> Column:
     return F.max_by(column, F.when(column.isNotNull(), F.col("ts")))
 
 
+def patch_errors(payload: str = "payload") -> Column:
+    """All reasons a patch is refused: each value it sets must be one that a rule may have."""
+    return R.value_errors(lambda name: F.col(f"{payload}.{name}"), lambda value: value.isNotNull())
+
+
+def validate_patches(patches: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Patches to apply, and refused ones with their errors: a patch with one bad value changes nothing.
+
+    Takes a change log as well, whose other operations all pass. ``patch`` and ``apply_changes`` expect
+    what this lets through.
+    """
+    errors = patch_errors()
+    if "op" in patches.columns:
+        errors = F.when(F.col("op") == "patch", errors).otherwise(F.array().cast("array<string>"))
+    both = patches.withColumn("errors", errors)
+    return both.filter(F.size("errors") == 0).drop("errors"), both.filter(F.size("errors") > 0)
+
+
 def patch(rules: DataFrame, patches: DataFrame) -> DataFrame:
     """Apply patches (rule_id, user_id, ts, payload): per column the latest value set wins.
 
@@ -97,7 +122,7 @@ def apply_changes(rules: DataFrame, changes: DataFrame) -> DataFrame:
        than the start, none came after it), and toggles after the latest patch of is_active flip it
        by their parity.
 
-    ``ts`` is unique within a rule, and creates have passed validation.
+    ``ts`` is unique within a rule; creates and patches have passed validation.
     """
     effects = _effects(changes, _owners(rules, changes))
     flips = _flips(changes, effects)

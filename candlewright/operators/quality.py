@@ -30,8 +30,14 @@ def quality(df: DataFrame, ts_col: str, as_of: Column) -> DataFrame:
 
 
 def retained(df: DataFrame, ts_col: str, zone: str, as_of: Column) -> DataFrame:
-    """Rows young enough for their zone. The bound is on the bare column, so it prunes files."""
-    return df.filter(F.col(ts_col) >= as_of - F.make_interval(days=F.lit(ZONE_RETENTION_DAYS[zone])))
+    """Rows young enough for their zone.
+
+    The bound is on the bare column, so it skips row groups; a table filed by ``day`` is cut by that
+    column as well, so old days are not even listed.
+    """
+    bound = as_of - F.make_interval(days=F.lit(ZONE_RETENTION_DAYS[zone]))
+    young = F.col(ts_col) >= bound
+    return df.filter(young & (F.col("day") >= bound.cast("date")) if "day" in df.columns else young)
 
 
 def compacted(df: DataFrame, files: int | None = None) -> DataFrame:

@@ -281,6 +281,20 @@ def _one_of(value: Column, domain: list[str]) -> Column:
     return F.coalesce(value.isin(*domain), F.lit(False))
 
 
+def value_errors(of, given) -> Column:
+    """Reasons against the single values of a rule or patch; ``given`` says which values are checked."""
+    logic, action, channels = of("logic"), of("action"), of("notification_channels")
+    cooldown, conditions = of("cooldown_seconds"), of("conditions")
+    checks = F.array(
+        F.when(given(logic) & ~_one_of(logic, fixed.LOGICS), "unknown logic"),
+        F.when(given(action) & ~_one_of(action, fixed.ACTIONS), "unknown action"),
+        F.when(F.exists(channels, lambda c: ~_one_of(c, fixed.CHANNELS)), "unknown channel"),
+        F.when((cooldown < fixed.MIN_COOLDOWN) | (cooldown > fixed.MAX_COOLDOWN), "cooldown out of range"),
+    )
+    wrong = F.coalesce(F.transform(conditions, _condition_error), F.array().cast("array<string>"))
+    return F.filter(F.concat(checks, F.array_distinct(wrong)), lambda e: e.isNotNull())
+
+
 def rule_errors() -> Column:
     """All reasons a rule is refused, as an array; empty for a valid rule."""
     channels = F.col("notification_channels")

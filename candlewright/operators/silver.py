@@ -18,7 +18,7 @@ def valid(candles: DataFrame) -> DataFrame:
         keep = keep & (F.col(name) > 0) & ~F.isnan(name)
     for name in ID:
         keep = keep & F.col(name).isNotNull()
-    keep = keep & (F.col("volume") >= 0) & seconds_of(F.col("timeframe")).isNotNull()
+    keep = keep & (F.col("volume") >= 0) & ~F.isnan("volume") & seconds_of(F.col("timeframe")).isNotNull()
     return candles.filter(F.coalesce(keep, F.lit(False)))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from candlewright.fixed import DEFAULT_COOLDOWN
 from candlewright.operators.ema import span_alpha
 
 HISTORY = 99
@@ -42,6 +43,7 @@ def stream_cooldown(triggers: DataFrame, at: str = "triggered_at") -> DataFrame:
     """Stream form of the cooldown operator: columns rule_id, alert_id, cooldown_seconds and time."""
     rows = triggers.select("rule_id", "alert_id", "cooldown_seconds", at)
     schema = rows.schema
+    rows = rows.withColumn("cooldown_seconds", F.coalesce("cooldown_seconds", F.lit(DEFAULT_COOLDOWN)))
     return rows.withColumn("micros", F.unix_micros(at)).groupBy("rule_id").transformWithStateInPandas(
         CooldownState(), schema, outputMode="Append", timeMode="None"
     )
@@ -55,14 +57,25 @@ INDICATOR_SCHEMA = (
 
 
 class IndicatorState(StatefulProcessor):
-    """Indicators of a series from its last candles and its running averages."""
+    """Indicators of a series from its last candles and its running averages.
+
+    The time of the last candle is kept: a candle that is not newer, delivered again or late, is
+    dropped, as counting it would shift every later average.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.closes = handle.getValueState("closes", "closes array<double>")
         self.averages = handle.getValueState("averages", "fast double, slow double, signal double")
+        self.newest = handle.getValueState("newest", "micros bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values("open_time", ignore_index=True)
+        batch = pd.concat(list(rows), ignore_index=True).sort_values("micros", ignore_index=True)
+        batch = batch.drop_duplicates("micros", keep="last")
+        if self.newest.exists():
+            batch = batch[batch["micros"] > self.newest.get()[0]]
+        if batch.empty:
+            return
+        batch = batch.reset_index(drop=True)
         past = list(self.closes.get()[0]) if self.closes.exists() else []
         state = self.averages.get() if self.averages.exists() else None
         closes = pd.Series(past + list(batch["close"]), dtype="float64")
@@ -96,6 +109,7 @@ class IndicatorState(StatefulProcessor):
         out["price_change_pct"] = (((closes / before) - 1) * 100).mask(before == 0).to_numpy()[new]
         out["prev_close"] = before.to_numpy()[new]
 
+        self.newest.update((int(batch["micros"].iloc[-1]),))
         self.closes.update((list(closes[-HISTORY:]),))
         self.averages.update(tuple(float(v) for v in state))
         yield out
@@ -106,7 +120,7 @@ class IndicatorState(StatefulProcessor):
 
 def stream_indicators(candles: DataFrame) -> DataFrame:
     """Indicators on a stream of candles, equal to the batch ones when candles arrive in order."""
-    rows = candles.select("symbol", "timeframe", "open_time", "close")
+    rows = candles.select("symbol", "timeframe", "open_time", "close", F.unix_micros("open_time").alias("micros"))
     return rows.groupBy("symbol", "timeframe").transformWithStateInPandas(
         IndicatorState(), INDICATOR_SCHEMA, outputMode="Append", timeMode="None"
     )

@@ -125,3 +125,18 @@ def test_page_bounds(spark, sf_dir):
     for number, limit in ((0, 20), (1, 0), (1, 101)):
         with pytest.raises(ValueError):
             R.page(feeds.rules(spark, sf_dir), number, limit)
+
+
+def test_patches_with_a_bad_value_are_refused(spark):
+    schema = "rule_id string, user_id string, ts timestamp, payload struct<" + ", ".join([
+        "symbol: string", "timeframe: string", f"conditions: {schemas.CONDITIONS}", "logic: string", "action: string",
+        "notification_channels: array<string>", "email_address: string", "webhook_url: string", "cooldown_seconds: int", "is_active: boolean",
+    ]) + ">"
+    patches = [payload(action="BUY"), payload(logic="XOR"), payload(action="HOLD"), payload(notification_channels=["pager"]),
+               payload(cooldown_seconds=5), payload(conditions=[("nothing", ">", 1.0, None)]), payload(is_active=False, cooldown_seconds=60)]
+    rows = [(f"r{i}", "u", None, p) for i, p in enumerate(patches)]
+    valid, refused = L.validate_patches(spark.createDataFrame(rows, schema))
+    assert sorted(r.rule_id for r in valid.collect()) == ["r0", "r6"]
+    assert {r.rule_id: r.errors for r in refused.collect()} == {
+        "r1": ["unknown logic"], "r2": ["unknown action"], "r3": ["unknown channel"],
+        "r4": ["cooldown out of range"], "r5": ["unknown condition field"]}

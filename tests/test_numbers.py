@@ -55,3 +55,18 @@ def test_exact_sum_of_unusual_values(spark):
     got = {r.k: r.s for r in rows.groupBy("k").agg(exact_sum(F.col("v")).alias("s")).collect()}
     assert math.isnan(got["nan"]) and got["inf"] == inf and got["big"] == 1.8e19
     assert got["null"] is None and got["some"] == 2.5 and got["neg"] == -0.3
+
+
+def test_exact_sum_holds_small_and_large_values(spark):
+    from decimal import Decimal
+
+    rng = random.Random(11)
+    groups = {
+        "tiny": [4e-10] * 1000, "atto": [1e-18] * 777, "large": [1e15 + 0.125, 1e15, -3.0], "both": [1e-18, 1e15, 1e-18, 2.5],
+        "mixed": [rng.uniform(0, 10) ** rng.randint(-9, 9) for _ in range(400)], "notional": [rng.uniform(0, 9e4) * 1e-6 for _ in range(400)],
+    }
+    data = [(k, v) for k, vs in groups.items() for v in vs]
+    for parts in (1, 7):
+        rows = spark.createDataFrame(data, "k string, v double").repartition(parts)
+        got = {r.k: r.s for r in rows.groupBy("k").agg(exact_sum(F.col("v")).alias("s")).collect()}
+        assert got == {k: float(sum(Decimal(repr(v)) for v in vs)) for k, vs in groups.items()}
