@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 QUERY_BLOCK = 2048
 ROW_BLOCK = 16384
-STRIP = 128  # queries held against a block of rows at a time
+STRIP = 64  # queries held against a block of rows at a time
+PAIRS = 1 << 15  # survivors compared at a time
 LEVELS = (4, 16)  # segments of each resolution
 
 
@@ -36,6 +37,16 @@ def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.array([max(-limit, min(limit, w)) for w in whole], np.int64)
 
 
+def _rowwise(product, a, rows_a, b, rows_b) -> np.ndarray:
+    """product of a's and b's chosen rows, PAIRS at a time."""
+    parts = [product(a[rows_a[i : i + PAIRS]], b[rows_b[i : i + PAIRS]]) for i in range(0, len(rows_a), PAIRS)]
+    return np.concatenate(parts) if parts else product(a[:0], b[:0])
+
+
+def _dots(a, b):
+    return np.einsum("ij,ij->i", a, b)
+
+
 def best(queries, query_ids, rows, row_ids, k: int, levels=LEVELS):
     """(query index, row id, score) of each query's k best rows, ties to the smaller row id."""
     norms = np.sqrt((rows**2).sum(axis=1))
@@ -58,9 +69,9 @@ def best(queries, query_ids, rows, row_ids, k: int, levels=LEVELS):
         reached -= 1e-9 * np.abs(np.where(np.isfinite(reached), reached, 0))
         q, r = np.nonzero((bound >= reached[:, None]) & ~own)
         for level in range(1, len(levels)):
-            keep = np.einsum("ij,ij->i", stats[level][q], coarse[level][r]) + slack[q, r] >= reached[q]
+            keep = _rowwise(_dots, stats[level], q, coarse[level], r) + slack[q, r] >= reached[q]
             q, r = q[keep], r[keep]
-        score = _exact(strip[q], rows[r])
+        score = _rowwise(_exact, strip, q, rows, r)
         order = np.lexsort((row_ids[r], -score, q))
         q, r, score = q[order], r[order], score[order]
         first = np.searchsorted(q, q, side="left")
