@@ -30,10 +30,15 @@ def bronze_job(messages: DataFrame, path: str, checkpoint: str, ingested, every:
 
 
 def bronze_candles(bronze: DataFrame) -> DataFrame:
-    """Minute candles with their latest ingest time, from stored tick payloads."""
+    """Minute candles from stored tick payloads, filed under their open time.
+
+    A trade stored more than once, as after a replay, counts once; trades without an id all count.
+    """
     ticks = bronze.select(
         F.from_json("payload", topics.PAYLOADS[TOPIC_TICKS]).alias("_t")
     ).select("_t.*")
+    known = F.col("trade_id").isNotNull()
+    ticks = ticks.filter(known).distinct().unionByName(ticks.filter(~known))
     minute = C.candles(ticks, "1m")
     return minute.withColumn("ingest_time", F.col("open_time"))
 
