@@ -51,9 +51,19 @@ def gap_flagged(candles: DataFrame) -> DataFrame:
     return settle(spread(candles, 1).withColumn("missing_before", F.coalesce(slots - 1, F.lit(0)).cast("bigint")))
 
 
-def clean(bronze: DataFrame, ingested: str = "ingest_time") -> DataFrame:
-    """Drop invalid rows, normalise, keep one copy per candle, flag gaps."""
-    return gap_flagged(latest_copy(normalised(valid(bronze)), ingested).drop(ingested))
+def clean(bronze: DataFrame, ingested: str = "ingest_time", around: DataFrame | None = None) -> DataFrame:
+    """Drop invalid rows, normalise, keep one copy per candle, flag gaps.
+
+    ``around`` holds keys of candles stored elsewhere, so gaps at the edges count from them; they are
+    not in the result.
+    """
+    kept = latest_copy(normalised(valid(bronze)), ingested).drop(ingested)
+    if around is None:
+        return gap_flagged(kept)
+    both = kept.withColumn("_new", F.lit(True)).unionByName(
+        around.select(*ID, F.lit(False).alias("_new")), allowMissingColumns=True
+    )
+    return gap_flagged(both).filter("_new").drop("_new")
 
 
 def silver(bronze: DataFrame, ingested: str = "ingest_time") -> DataFrame:

@@ -7,7 +7,7 @@ what has arrived and stop.
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candlewright.fixed import TOPIC_TICKS
@@ -18,15 +18,16 @@ from candlewright.operators import indicators as I
 from candlewright.operators import silver as S
 from candlewright.operators.cooldown import cooldown
 from candlewright.operators.rules import evaluate
+from candlewright.session import stored
 from candlewright.sources import tables, topics
 from candlewright.streaming import jobs
 
 
 def bronze_job(messages: DataFrame, path: str, checkpoint: str, ingested, every: str | None = None):
-    """Topic records, as received, into files by ingest day."""
-    return jobs.to_files(
-        topics.bronze(messages, ingested), path, checkpoint, every, partition_by=["ingest_date"]
-    )
+    """Topic records, as received, into files by the day of the event and the day it came in."""
+    event = F.get_json_object("payload", "$.ts").try_cast("timestamp")
+    rows = topics.bronze(messages, ingested).withColumn("event_date", F.to_date(event))
+    return jobs.to_files(rows, path, checkpoint, every, partition_by=["event_date", "ingest_date"])
 
 
 def bronze_candles(bronze: DataFrame) -> DataFrame:
@@ -43,14 +44,49 @@ def bronze_candles(bronze: DataFrame) -> DataFrame:
     return minute.withColumn("ingest_time", F.col("open_time"))
 
 
+def _followers(silver: DataFrame, touched: DataFrame) -> DataFrame:
+    """Days whose first candle of some series comes next after a touched day: its gap may change.
+
+    Works on one row per series and day, and on one row per day of the calendar.
+    """
+    held = silver.select("symbol", "timeframe", "day").distinct()
+    before = F.lag("day").over(Window.partitionBy("symbol", "timeframe").orderBy("day"))
+    calendar = held.select("day", F.lit(False).alias("hit")).union(touched.select("day", F.lit(True)))
+    days = calendar.groupBy("day").agg(F.max("hit").alias("hit")).withColumn(
+        "_touched",
+        F.max(F.when(F.col("hit"), F.col("day"))).over(Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)),
+    )
+    return (
+        held.withColumn("_before", before).join(days.select("day", "_touched"), "day")
+        .filter(F.col("_touched") >= F.coalesce("_before", "_touched"))
+        .select("day").distinct()
+    )
+
+
 def silver_job(spark: SparkSession, bronze_path: str, path: str,
                first: str | None = None, last: str | None = None) -> None:
+    """Clean candles of every day that records ingested in the range belong to.
+
+    Such a day is built from all of its Bronze records up to ``last``, whenever they came in, so late
+    ticks add to a day and never replace it.
+    """
     bronze = spark.read.parquet(bronze_path)
-    if first:
-        bronze = bronze.filter(F.col("ingest_date") >= F.lit(first).cast("date"))
     if last:
         bronze = bronze.filter(F.col("ingest_date") <= F.lit(last).cast("date"))
-    tables.write_days(S.clean(bronze_candles(bronze)), path)
+    fresh = bronze.filter(F.col("ingest_date") >= F.lit(first).cast("date")) if first else bronze
+    days = fresh.select(F.col("event_date").alias("day")).distinct().dropna()
+    around = None
+    if tables.has_days(spark, path):
+        silver = tables.read_days(spark, path)
+        days = stored(days.union(_followers(silver, days)).distinct(), "days")
+        # Stored, as the table they come from is about to be written.
+        around = stored(
+            silver.join(days, "day", "left_anti").groupBy("symbol", "timeframe", "day")
+            .agg(F.max("open_time").alias("open_time")),
+            "edges",
+        )
+    rows = bronze.join(days, F.col("event_date") == days["day"], "left_semi")
+    tables.write_days(S.clean(bronze_candles(rows), around=around), path)
 
 
 def gold_job(spark: SparkSession, silver_path: str, path: str,
@@ -73,14 +109,19 @@ def alert_job(spark: SparkSession, gold_path: str, rules: DataFrame, path: str,
 
 
 def dispatch_job(spark: SparkSession, messages: DataFrame, rules: DataFrame, path: str,
-                 send: Callable, sleep: Callable, at) -> dict[str, str]:
-    """Parse, route and deliver alert messages; returns where audit, log and dead letters went."""
-    where = {name: f"{path}/{name}" for name in ("audit", "log", "dead_letters")}
+                 send: Callable, sleep: Callable, at: Column, batch_id: int = 0) -> dict[str, str]:
+    """Parse, route and deliver a batch of alert messages; returns where its outputs went.
+
+    Audit, log and refused channels are kept per batch id: a batch that is repeated replaces its own
+    rows, another one adds to them. Dead letters are appended at each run.
+    """
+    where = {name: f"{path}/{name}" for name in ("audit", "log", "refused_channels", "dead_letters")}
     valid, refused = A.parse_alerts(messages)
-    A.audit(valid, rules, at).write.mode("overwrite").parquet(where["audit"])
-    deliveries, _ = A.fan_out(valid, rules)
-    D.deliver(deliveries, send, sleep).write.mode("overwrite").parquet(where["log"])
-    log = spark.read.parquet(where["log"])
+    jobs.write_batch(A.audit(valid, rules, at), batch_id, where["audit"])
+    deliveries, unsupported = A.fan_out(valid, rules)
+    jobs.write_batch(unsupported, batch_id, where["refused_channels"])
+    jobs.write_batch(D.deliver(deliveries, send, sleep), batch_id, where["log"])
+    log = spark.read.parquet(where["log"]).filter(F.col("batch_id") == batch_id).drop("batch_id")
     bad = refused.select("error", F.coalesce("text", F.lit("")).alias("event"))
     letters = A.dead_letters(bad, at).unionByName(D.undelivered(log, deliveries, at))
     tables.append_dead_letters(letters, where["dead_letters"])

@@ -551,4 +551,10 @@ SELECT * FROM minutes WHERE open > 0 AND high > 0 AND low > 0 AND close > 0)
 """.lstrip() + " UNION ALL ".join(f"""
 SELECT upper(symbol) AS symbol, '{name}' AS timeframe, {_bucket(seconds, 'open_time')} AS open_time,
   arg_min(open, clean.open_time) AS open, max(high) AS high, min(low) AS low, arg_max(close, clean.open_time) AS close,
-  sum(volume::decimal(18,0))::double AS volume FROM clean GROUP BY symbol, 3""" for name, seconds in [("1h", 3600), ("4h", 14400)]))
+  sum(volume::decimal(18,0))::double AS volume FROM clean GROUP BY symbol, 3""" for name, seconds in
+    [("1m", 60), ("3m", 180), ("5m", 300), ("15m", 900), ("30m", 1800), ("1h", 3600), ("4h", 14400), ("1d", 86400)]))
+oracle("medallion_late", ["minutes"], """, clean AS (
+SELECT upper(symbol) AS symbol, '1m' AS timeframe, open_time, open, high, low, close, volume FROM minutes
+WHERE open > 0 AND high > 0 AND low > 0 AND close > 0)
+SELECT *, coalesce((epoch(open_time)::bigint - epoch(lag(open_time) OVER (PARTITION BY symbol ORDER BY open_time))::bigint) // 60 - 1, 0)::bigint
+  AS missing_before FROM clean""".lstrip())

@@ -654,7 +654,25 @@ def medallion_run(spark, sf_dir):
     medallion.bronze_job(feeds.tick_messages_of(events), f"{base}/bronze", f"{base}/state", at).awaitTermination()
     medallion.silver_job(spark, f"{base}/bronze", f"{base}/silver")
     medallion.gold_job(spark, f"{base}/silver", f"{base}/gold")
-    return tables.read_days(spark, f"{base}/gold").filter("timeframe in ('1h', '4h')").select(*CANDLE)
+    return tables.read_days(spark, f"{base}/gold").select(*CANDLE)
+
+
+@query
+def medallion_late(spark, sf_dir):
+    """The Silver zone in three runs: a trade comes in up to two days late, every seventh a second time."""
+    base = shared_dir(spark, "zones-late")
+    messages = feeds.tick_messages_of(feeds.stream(spark, sf_dir, "events"))
+    trade = F.get_json_object(F.col("value").cast("string"), "$.trade_id").cast("bigint")
+    at = F.get_json_object(F.col("value").cast("string"), "$.ts").cast("timestamp")
+    late = F.pmod(trade, F.lit(3)).cast("int")
+    sent = messages.withColumn(
+        "late", F.explode(F.when(trade % 7 == 0, F.array(late, late + 1)).otherwise(F.array(late)))
+    )
+    came = at + F.make_interval(days=F.col("late"))
+    medallion.bronze_job(sent, f"{base}/bronze", f"{base}/state", came).awaitTermination()
+    for first, last in ((None, "2024-01-10"), ("2024-01-11", "2024-01-20"), ("2024-01-21", None)):
+        medallion.silver_job(spark, f"{base}/bronze", f"{base}/silver", first, last)
+    return tables.read_days(spark, f"{base}/silver").select(*CANDLE, "missing_before")
 
 
 # --- models --------------------------------------------------------------------------------------

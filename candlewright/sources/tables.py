@@ -1,5 +1,6 @@
 """Parquet tables filed by day, and dead-letter files."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +34,16 @@ def read_days(spark: SparkSession, path: str, first: str | None = None, last: st
     return df
 
 
+def has_days(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written there before."""
+    try:
+        return "day" in spark.read.parquet(path).columns
+    except AnalysisException as missing:
+        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+
+
 def append_dead_letters(df: DataFrame, path: str) -> None:
     df.write.mode("append").partitionBy("dlq_date").json(path)
 

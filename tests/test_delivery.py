@@ -73,3 +73,15 @@ def test_dispatch_job_end_to_end(spark, sf_dir, tmp_path):
     refused = A.parse_alerts(messages)[1].count()
     letters = spark.read.json(where["dead_letters"])
     assert failed > 0 and refused > 0 and letters.count() == failed + refused
+    channels = spark.read.parquet(where["refused_channels"]).count()
+    again = messages.filter("value is not null").limit(20)
+    for _ in range(2):  # another batch adds its rows, its repetition none
+        medallion.dispatch_job(
+            spark, again, rules, str(tmp_path / "out"), scripted_sender, no_sleep, F.lit("2024-02-02").cast("timestamp"), 1
+        )
+    audit = spark.read.parquet(where["audit"])
+    assert audit.filter("batch_id = 0").count() == known
+    valid = A.parse_alerts(again)[0].join(rules.select("rule_id"), "rule_id").count()
+    assert audit.filter("batch_id = 1").count() == valid
+    assert spark.read.parquet(where["log"]).filter("batch_id = 0").count() == log.filter("batch_id = 0").count()
+    assert spark.read.parquet(where["refused_channels"]).filter("batch_id = 0").count() == channels

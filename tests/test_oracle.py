@@ -4,6 +4,7 @@ import pytest
 from compare import difference
 
 import __spark_entry__ as entry
+from candlewright.plans import queries
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
@@ -14,7 +15,7 @@ def test_matches_sql(spark, sf_dir, name):
 
 
 def test_every_query_but_models_has_sql():
-    assert set(QUERIES) - set(ORACLES) == {"ml_forest", "ml_kmeans"}
+    assert set(queries.QUERIES) - set(ORACLES) == {"ml_forest", "ml_kmeans"}
 
 
 def test_entry_has_rows(spark):

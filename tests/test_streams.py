@@ -127,3 +127,24 @@ def test_zone_jobs_rerun_without_change(spark, sf_dir, tmp_path):
     medallion.alert_job(spark, f"{base}/gold", rules, f"{base}/alerts", f"{base}/work")
     alerts = spark.read.parquet(f"{base}/alerts")
     assert alerts.count() > 0 and alerts.count() == alerts.select("alert_id").distinct().count()
+
+
+def test_late_ticks_add_to_a_day_and_move_the_gap_after_it(spark, tmp_path):
+    bronze, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
+
+    def ingest(day, trades):
+        rows = [(f'{{"symbol":"a","ts":"2024-01-{at}","price":5.0,"quantity":1.0,"trade_id":{i}}}', f"2024-01-{day}", f"2024-01-{at[:2]}")
+                for i, at in trades]
+        spark.createDataFrame(rows, "payload string, i string, e string").select(
+            "payload", F.to_date("i").alias("ingest_date"), F.to_date("e").alias("event_date")
+        ).write.mode("append").partitionBy("event_date", "ingest_date").parquet(bronze)
+        medallion.silver_job(spark, bronze, silver, f"2024-01-{day}", f"2024-01-{day}")
+        found = tables.read_days(spark, silver).orderBy("open_time").collect()
+        return [(r.open_time.strftime("%d %H:%M"), r.volume, r.missing_before) for r in found]
+
+    assert ingest("01", [(1, "01 10:00:00"), (2, "01 10:02:00")]) == [("01 10:00", 1.0, 0), ("01 10:02", 1.0, 1)]
+    assert ingest("04", [(3, "04 10:02:00")])[-1] == ("04 10:02", 1.0, 3 * 1440 - 1)
+    # Day 1 gets a late trade and a repeated one: both candles stay, and day 4 counts from the new last one.
+    assert ingest("05", [(4, "01 10:03:00"), (2, "01 10:02:00")]) == [
+        ("01 10:00", 1.0, 0), ("01 10:02", 1.0, 1), ("01 10:03", 1.0, 0), ("04 10:02", 1.0, 3 * 1440 - 2)
+    ]
