@@ -134,6 +134,54 @@ def test_line_groups_equal_brute_force(spark):
     assert {h: got.get(h, h) for h in prints} == {h: find(h) for h in prints}
 
 
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, c in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, d in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (c != d))
+    return row[-1]
+
+
+def test_short_lines_meet_at_every_edit_similarity(spark):
+    rng = random.Random(12)
+    made = set()
+    for _ in range(40):
+        line = [rng.choice("abcdefgh ") for _ in range(rng.randint(1, 40))]
+        for _ in range(4):
+            copy = list(line)
+            for _ in range(rng.randint(0, len(line) // 5)):
+                k = rng.randrange(len(copy) + 1)
+                copy[k:k + rng.randint(0, 1)] = rng.choice([[], ["é"], ["a", "b"][: rng.randint(1, 2)]])
+            made.add("".join(copy))
+    table = lines.line_table(docs_frame(spark, sorted(made)))
+    texts = {r.hash: r.line for r in table.collect() if len(r.line) <= lines.SHORT}
+    near = {
+        (a, b) for a in texts for b in texts
+        if a < b and edit_distance(texts[a], texts[b]) <= int(max(len(texts[a]), len(texts[b])) * (1 - 0.8) + 1e-9)
+    }
+    held = collections.defaultdict(set)
+    for r in lines.segment_buckets(table).collect():
+        held[r.key].add(r.hash)
+    met = {(a, b) for group in held.values() for a in group for b in group if a < b}
+    assert len(near) > 60 and near <= met
+
+
+def test_line_dedup_finds_lines_with_a_word_replaced(spark):
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choice("abcdefghijkl") for _ in range(rng.randint(2, 9)))
+    texts = []
+    for n in [6, 8, 10, 14, 20, 27, 40, 60] * 5:
+        line = [word() for _ in range(n)]
+        copy = list(line)
+        k = rng.randrange(n)
+        copy[k] = copy[k][:-1] + "xy"
+        texts += [" ".join(line), " ".join(copy)]
+    gone = {r.doc_id for r in lines.repeated_lines(docs_frame(spark, texts)).collect()}
+    # Bands are drawn, so not every pair must meet; by fingerprints of 3 bits few do.
+    assert all(k % 2 for k in gone) and len(gone) >= 0.95 * len(texts) / 2
+
+
 def test_top_k_edges(spark):
     rows = [(0, [1.0, 2.0]), (50, [1.0, 2.0]), (7, [1.0, 2.0]), (8, None), (9, [1.0, None]), (10, [float("nan"), 1.0]), (11, [5.0]), (100, [0.5, -3.0]), (7, [1.0, 2.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("vector", topk.scaled(F.col("embedding"))).withColumn("key", F.lit(1))
