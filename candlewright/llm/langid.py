@@ -307,7 +307,8 @@ def identify(docs: DataFrame, model: Model | None, carried: Column, text_col="te
     """``carried`` (a struct, as column row) with lang_pred, score, cross_entropy and rejected of every row.
 
     The language of least cross-entropy per character over the whole text. A null text or one without
-    letters is ``und`` with score 0 and rejected, as are all texts if nothing was learned. ``rejected``
+    letters is ``und`` with score 0 and rejected. If nothing was learned all texts are ``und`` with score 0, but only
+    those without letters are rejected: no language was there to judge the others by. ``rejected``
     marks texts that no language explains: cross-entropy above the language's typical one by three times the
     largest excess seen in calibration and six deviations of a text of that length. Rows are
     independent of each other, so nothing is shuffled; other columns are not read.
@@ -315,7 +316,19 @@ def identify(docs: DataFrame, model: Model | None, carried: Column, text_col="te
     kept = docs.select(carried.alias("row"), F.col(text_col).cast("string").alias("text"))
     schema = f"row {kept.schema['row'].dataType.simpleString()}, lang_pred string, score double, cross_entropy double, rejected boolean"
     if model is None:
-        return kept.select("row", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("cross_entropy"), F.lit(True).alias("rejected"))
+        # The letters of Python's Unicode tables, as with a model.
+        def unjudged(batches):
+            for batch in batches:
+                texts = [t or "" for t in batch.column(1).to_pylist()]
+                for a, b in _chunks(texts):
+                    n = b - a
+                    none = symbols(texts[a:b])[2] == 0
+                    yield pa.record_batch(
+                        [batch.column(0).slice(a, n), pa.array([UNKNOWN] * n), pa.array([0.0] * n), pa.nulls(n, pa.float64()), pa.array(none)],
+                        names=["row", "lang_pred", "score", "cross_entropy", "rejected"],
+                    )
+
+        return kept.mapInArrow(unjudged, schema)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def rows(batches):

@@ -261,6 +261,15 @@ def test_language_id_on_held_out_rows(spark):
     assert {r.lang_pred for r in nothing.collect()} == {"und"}
 
 
+def test_language_stage_keeps_texts_when_nothing_is_labelled(spark):
+    texts = ["plain words", None, "", "12 !?", "日本語", "É", "x" * 3000]
+    df = docs_frame(spark, texts).withColumn("lang", F.lit(None).cast("string"))
+    stage = dict(corpus_pipeline.STAGES)["language_id"]
+    assert sorted(r.doc_id for r in stage(spark, df, SMALL).collect()) == [0, 4, 5, 6]
+    rows = langid.identify(df, langid.fit(df), F.struct("doc_id")).collect()
+    assert {(r.lang_pred, r.score, r.cross_entropy) for r in rows} == {("und", 0.0, None)} and len(rows) == len(texts)
+
+
 def test_simhash_equals_brute_force(spark, odd_texts):
     texts = odd_texts + [odd_texts[20] + " one", odd_texts[-1] + " tail", odd_texts[-1][:-9]]
 
