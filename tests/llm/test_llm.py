@@ -182,6 +182,16 @@ def test_line_dedup_finds_lines_with_a_word_replaced(spark):
     assert all(k % 2 for k in gone) and len(gone) >= 0.95 * len(texts) / 2
 
 
+def test_line_dedup_keeps_a_line_in_one_of_repeated_rows(spark):
+    texts = ["alpha beta\n\n--\ngamma"] * 3 + ["delta words"] * 2 + ["gamma", None, None, "", ""]
+    df = docs_frame(spark, texts, [1, 1, 1, None, None, 2, 3, 3, 4, 4]).repartition(3)
+    got = collections.defaultdict(list)
+    for r in lines.without_repeats(df).collect():
+        got[r.doc_id].append(r.text)
+    assert sorted(got[1]) == ["\n--", "\n--", texts[0]]
+    assert (sorted(got[None]), got[2], got[3], got[4]) == (["", "delta words"], [""], [None, None], ["", ""])
+
+
 def test_top_k_edges(spark):
     rows = [(0, [1.0, 2.0]), (50, [1.0, 2.0]), (7, [1.0, 2.0]), (8, None), (9, [1.0, None]), (10, [float("nan"), 1.0]), (11, [5.0]), (100, [0.5, -3.0]), (7, [1.0, 2.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("vector", topk.scaled(F.col("embedding"))).withColumn("key", F.lit(1))
