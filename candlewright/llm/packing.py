@@ -25,12 +25,12 @@ class WordTokenizer:
     encoded once each; all else (case, Unicode forms, other blanks, its pattern) is left to it.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = True):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = special_as_text
         self.cache: dict[bytes, bytes] = {}
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
@@ -128,7 +128,8 @@ def cut(length: int, capacity: int, filler: int) -> list[tuple[int, int]]:
 
 
 def pack(
-    docs: DataFrame, tokenizer: str, id_col="doc_id", text_col="text", capacity: int = WINDOW, end_id: int = 2, group_windows: int = GROUP_WINDOWS
+    docs: DataFrame, tokenizer: str, id_col="doc_id", text_col="text", capacity: int = WINDOW, end_id: int = 2, group_windows: int = GROUP_WINDOWS,
+    special_as_text: bool = True,
 ) -> DataFrame:
     """Pieces of all documents in sequences of at most ``capacity`` tokens.
 
@@ -137,12 +138,13 @@ def pack(
     just that id. Tasks take documents until they have ``group_windows`` windows' worth of tokens,
     cut off full windows and balance the rest over near-equal windows, so memory is bounded by a
     group plus one document and nothing is shuffled. Sequence ids hold the task's partition number.
-    ``tokenizer`` is a file that every executor can open. Repeated rows are packed as often as they
+    ``tokenizer`` is a file that every executor can open. With ``special_as_text`` the strings of special
+    tokens are ordinary text; without it they get their ids, as from the library's defaults. Repeated rows are packed as often as they
     occur; other columns are not read; an empty table gives no pieces.
     """
 
     def rows(batches):
-        coder = per_worker(f"words {tokenizer}", lambda: WordTokenizer(tokenizer))
+        coder = per_worker(f"words {special_as_text} {tokenizer}", lambda: WordTokenizer(tokenizer, special_as_text))
         end = np.array([end_id], "<u4").tobytes()
         sequence = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
         held, total = [], 0

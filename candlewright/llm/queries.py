@@ -65,7 +65,7 @@ def op4_byte_bpe(spark, sf_dir):
 
 @query
 def op5_packing(spark, sf_dir):
-    pieces = packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+    pieces = packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), special_as_text=False)
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )

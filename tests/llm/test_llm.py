@@ -258,6 +258,24 @@ def test_packing_loses_nothing(spark, odd_texts):
     assert sum(p.length for p in pieces) / (256 * len(by_sequence)) > 0.9
 
 
+def test_packing_query_and_stage_encode_as_the_library_does(spark, odd_texts, tmp_path):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    texts = odd_texts + ["a <|endoftext|> b", "a<|endoftext|>b<|startoftext|>", "x<|EndOfText|> <|endoftext|"]
+    docs_frame(spark, texts).write.parquet(str(tmp_path / "documents.parquet"))
+    want = {k: own.encode(t or "", add_special_tokens=False).ids + [2] for k, t in enumerate(texts)}
+    pieces = dict(corpus_pipeline.STAGES)["packing"](spark, docs_frame(spark, texts), SMALL).collect()
+    got = collections.defaultdict(list)
+    for p in sorted(pieces, key=lambda p: p.start):
+        got[p.doc_id] += np.frombuffer(p.ids, "<u4").tolist()
+    assert got == want
+    for r in queries.QUERIES["op5_packing"](spark, str(tmp_path)).collect():
+        part = np.array(want[r.doc_id][r.start:r.start + r.length], "<u4").tobytes()
+        assert (r.doc_tokens, r.ids_crc32) == (len(want[r.doc_id]), zlib.crc32(part))
+
+
 def test_language_id_on_held_out_rows(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     found = langid.identify(df, langid.fit(df), F.struct("doc_id", "lang", "n_chars", langid.held_out().alias("out")))
