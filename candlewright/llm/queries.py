@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from candlewright.llm import bpe, chat, langid, lines, packing, suffixes, topk, warc
+from candlewright.llm import bpe, chat, fim, langid, lines, packing, suffixes, topk, warc
 from candlewright.llm.common import bounded_batches, table
 from candlewright.llm.exact import exact_documents
 from candlewright.llm.simhash import near_documents
@@ -126,6 +126,18 @@ def op10_exact_dedup(spark, sf_dir):
     return exact_documents(spark, f"{sf_dir}/documents.parquet")
 
 
+@query
+def op11_fill_in_middle(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    done = fim.rearranged(docs, F.struct(F.col("doc_id").cast("long").alias("doc_id")))
+    return done.select(
+        "row.doc_id", "n", "form",
+        F.char_length("prefix").cast("long").alias("prefix_chars"), F.char_length("middle").cast("long").alias("middle_chars"),
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(fim.restored().cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
 ORACLES["op10_exact_dedup"] = r"""
 WITH t AS (
   SELECT doc_id, length(coalesce(text, '')) AS cp,
@@ -166,3 +178,20 @@ SELECT c.conv_id, n_turns, turns_sha256, length(loss) AS loss_chars, sha256(loss
   (c.chars + coalesce(near.chars, 0) + coalesce(heads.chars, 0))::BIGINT AS formatted_chars
 FROM c LEFT JOIN near USING (conv_id) LEFT JOIN heads USING (conv_id)
 """
+
+ORACLES["op11_fill_in_middle"] = """
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+    sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+d AS (SELECT *, len(u) AS n, [('0x' || substr(h, 8 * k + 1, 8))::BIGINT FOR k IN range(4)] AS r FROM t),
+c AS (SELECT *, least(r[1] % (n + 1), r[2] % (n + 1)) AS a, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR r[3] % 100 >= 90 THEN 'plain'
+         WHEN r[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d),
+p AS (SELECT doc_id, text, n, form, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle,
+    array_to_string(u[b + 1:], '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+         ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256 FROM p
+"""
