@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from candlewright.llm import bpe, chat, fim, langid, lines, packing, suffixes, topk, warc
+from candlewright.llm import bpe, chat, fim, langid, lines, packing, search, suffixes, topk, warc
 from candlewright.llm.common import bounded_batches, table
 from candlewright.llm.exact import exact_documents
 from candlewright.llm.simhash import near_documents
@@ -138,6 +138,11 @@ def op11_fill_in_middle(spark, sf_dir):
     )
 
 
+@query
+def op13_lexical_search(spark, sf_dir):
+    return search.top_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 ORACLES["op10_exact_dedup"] = r"""
 WITH t AS (
   SELECT doc_id, length(coalesce(text, '')) AS cp,
@@ -195,3 +200,21 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS pre
          ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
   sha256(text) AS restored_sha256 FROM p
 """
+
+ORACLES["op13_lexical_search"] = r"""
+WITH w AS (SELECT row_number() OVER () AS doc, doc_id,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS u
+  FROM documents WHERE text IS NOT NULL),
+d AS (SELECT doc, doc_id, len(u) AS n, u FROM w WHERE len(u) > 0),
+total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS len FROM d),
+i AS (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL),
+it AS (SELECT DISTINCT item_id, text, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM i),
+tf AS (SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest(u) AS term FROM d) WHERE term IN (SELECT term FROM it) GROUP BY ALL),
+wt AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, total GROUP BY term, docs),
+part AS (SELECT doc, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // len))) AS part
+  FROM tf JOIN wt USING (term) JOIN d USING (doc), total),
+s AS (SELECT item_id, text, doc, sum(part)::BIGINT AS score FROM it JOIN part USING (term) GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s JOIN d USING (doc) WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM r WHERE rank <= 50
+"""
