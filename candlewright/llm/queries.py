@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from candlewright.llm import bpe, chat, fim, langid, lines, packing, search, suffixes, topk, warc
+from candlewright.llm import bpe, chat, extract, fim, langid, lines, packing, search, suffixes, topk, warc
 from candlewright.llm.common import bounded_batches, table
 from candlewright.llm.exact import exact_documents
+from candlewright.llm.labelled_pages import labelled_pages
 from candlewright.llm.simhash import near_documents
 
 QUERIES = {}
@@ -138,6 +139,14 @@ def op11_fill_in_middle(spark, sf_dir):
     )
 
 
+@query
+def op12_html_extraction(spark, sf_dir):
+    known = spark.createDataFrame(labelled_pages(400), "html string, main array<string>")
+    pages = table(spark, sf_dir, "pages")
+    found = extract.main_text(pages, extract.fit(known), F.struct(F.col("page_id").cast("long").alias("page_id"), "url"))
+    return found.select("row.page_id", "row.url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 @query
 def op13_lexical_search(spark, sf_dir):
     return search.top_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
