@@ -13,7 +13,7 @@ from candlewright.llm.blocks import Block, blocks
 
 #: Labelled pages a model is fitted on at most: the first by a hash of the page.
 PAGES = 2000
-ROUNDS = 150
+ROUNDS = 120
 PENALTY = 0.05
 #: Blocks in which a trait has to occur to get a weight.
 SEEN = 2

@@ -135,7 +135,7 @@ class Writer:
         rng = self.rng
         kind = rng.random()
         if kind < 0.68:
-            text = self.sentences(rng.choice([1, 3, 8]))
+            text = self.words(1, 4) + rng.choice([".", ".", ""]) if rng.random() < 0.3 else self.sentences(rng.choice([1, 3, 8]))
             inside = rng.choice(["", "", "<b>"]) + self.keep(text)
             if rng.random() < 0.15:
                 inside = f"<b>{inside}<br>"
@@ -173,7 +173,7 @@ class Writer:
         straight = rng.random() < 0.18
         for _ in range(rng.choice([1, 2, 4, 8, 15])):
             out.append(self.plain_text() + "<hr>" if straight else self.block())
-            if rng.random() < 0.06:
+            if rng.random() < 0.08:
                 out.append(rng.choice([self.advert, self.side, self.share, self.form])())
         for part, chance in ((self.share, 0.15), (self.side, 0.1), (self.comments, 0.15)):
             if rng.random() < chance:
@@ -192,9 +192,10 @@ class Writer:
         rng = self.rng
         before = [self.header, self.menu, self.notice, self.advert, self.side, self.form]
         after = [self.footer, self.comments, self.side, self.advert, self.share, self.notice, self.form, self.menu]
-        parts = [part() for part in before if rng.random() < 0.45]
+        share = rng.choice([0, 0.15, 0.4, 0.6])
+        parts = [part() for part in before if rng.random() < share]
         rng.shuffle(parts)
-        body = "".join(parts) + self.article() + "".join(part() for part in after if rng.random() < 0.4)
+        body = "".join(parts) + self.article() + "".join(part() for part in after if rng.random() < share)
         if rng.random() < 0.4:
             body = f'<div class="{rng.choice(PLAIN)}">{body}</div>'
         script = '<script>var t="</p>";go()</script><style>p{margin:0}</style>'

@@ -141,7 +141,7 @@ def op11_fill_in_middle(spark, sf_dir):
 
 @query
 def op12_html_extraction(spark, sf_dir):
-    known = spark.createDataFrame(labelled_pages(400), "html string, main array<string>")
+    known = spark.createDataFrame(labelled_pages(600), "html string, main array<string>")
     pages = table(spark, sf_dir, "pages")
     found = extract.main_text(pages, extract.fit(known), F.struct(F.col("page_id").cast("long").alias("page_id"), "url"))
     return found.select("row.page_id", "row.url", "text", F.char_length("text").cast("long").alias("n_chars"))

@@ -19,7 +19,7 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def model():
-    return extract.trained([extract.labelled(*p) for p in labelled_pages(400)])
+    return extract.trained([extract.labelled(*p) for p in labelled_pages(600)])
 
 
 def texts(page):
