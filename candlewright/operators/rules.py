@@ -7,10 +7,10 @@ from pyspark.sql import types as T
 from candlewright import fixed
 from candlewright.functions.numbers import number_text, to_number
 from candlewright.operators.indicators import previous_candle
-from candlewright.session import small_enough
 
 MATCH_KEYS = ("symbol", "timeframe")
-SPREAD_COPIES = 32
+#: How a condition is looked up, those that fewest candles meet first. PLAIN ones are looked up by no value.
+ABOVE, BELOW, EQUAL, WORD, LOW, HIGH, PLAIN, NEVER = range(8)
 
 
 # --- one condition -------------------------------------------------------------------------------
@@ -145,29 +145,123 @@ def rule_passed() -> Column:
     )
 
 
-def _first_may_pass(numeric_fields: int) -> Column:
-    """A cheap test every passing AND rule meets: its first condition, as far as plain columns tell.
+# --- the condition index ---------------------------------------------------------------------------
 
-    Lambdas over ``conditions`` are interpreted per pair of rule and candle; this runs in generated
-    code and rejects most pairs before they get there. It errs on the side of letting through.
+def _lookup(c: Column, ordinal: Column, numeric_fields: int) -> Column:
+    """How a condition is found from a candle: kind, place among its rule's, field, and the value to meet.
+
+    It is never missed by a candle that passes; NEVER marks what no candle passes.
+    """
+    operator, limit, at = c["operator"], c["limit"], c["at"]
+    number = limit.isNotNull() & ~F.isnan(limit)
+    is_text = at >= numeric_fields
+    word = F.upper(F.coalesce(c["value_str"], number_text(c["value_num"])))
+    equal = (
+        F.when(is_text, F.when(word.isNull(), NEVER).otherwise(WORD))
+        .when(c["value_num"].isNotNull(), F.when(F.isnan(c["value_num"]), NEVER).otherwise(EQUAL))
+        .otherwise(PLAIN)
+    )
+    ranges = {">": LOW, ">=": LOW, "<": HIGH, "<=": HIGH, "crosses_above": ABOVE, "crosses_below": BELOW}
+    kind = F.when((at < 0) | operator.isNull(), NEVER).when(operator == "==", equal).when(operator == "!=", PLAIN)
+    for name, found in ranges.items():
+        kind = kind.when(operator == name, F.when(number, found).otherwise(NEVER))
+    kind = F.coalesce(kind, F.lit(NEVER))
+    ranged = kind.isin(ABOVE, BELOW, LOW, HIGH)
+    return F.struct(
+        kind.alias("kind"), ordinal.alias("ordinal"), at.alias("at"),
+        # Adding zero leaves one zero: limits of -0.0 and 0.0 are equal.
+        (F.when(kind == EQUAL, c["value_num"]).when(ranged, limit).otherwise(0.0) + 0.0).alias("limit"),
+        F.when(kind == WORD, word).otherwise("").alias("word"),
+    )
+
+
+def entries(rules: DataFrame, numeric_fields: int) -> DataFrame:
+    """Compiled rules with ``_entry``, once for each condition they are looked up by.
+
+    A rule that needs all its conditions is looked up by the one that fewest candles should meet, one that
+    needs any by each. Rules that no candle can pass have no entry.
+    """
+    found = F.transform("_conditions", lambda c, k: _lookup(c, k, numeric_fields))
+    alive = F.filter("_found", lambda e: e["kind"] < NEVER)
+    whole = (F.size("_found") > 0) & (F.size(alive) == F.size("_found"))
+    chosen = F.when((F.col("_logic") == "AND") & whole, F.array(F.array_min("_found"))).when(F.col("_logic") == "OR", alive)
+    return rules.withColumn("_found", found).withColumn("_entry", F.explode(chosen)).drop("_found")
+
+
+def _bound(limits: Column, value: Column, after: bool) -> Column:
+    """How many of the sorted limits lie below ``value``, or with ``after`` not above it, by binary search."""
+    def halve(span, _):
+        middle = F.floor((span["low"] + span["high"]) / 2).cast("int")
+        limit = F.get(limits, middle)
+        right = (limit <= value) if after else (limit < value)
+        open_ = span["low"] < span["high"]
+        return F.struct(
+            F.when(open_ & right, middle + 1).otherwise(span["low"]).alias("low"),
+            F.when(open_ & ~right, middle).otherwise(span["high"]).alias("high"),
+        )
+
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(limits) + 1)).cast("int"))
+    start = F.struct(F.lit(0).alias("low"), F.size(limits).alias("high"))
+    return F.aggregate(steps, start, halve, lambda span: span["low"])
+
+
+def _met(kind: Column, limits: Column, now: Column, before: Column) -> Column:
+    """The slice of the sorted limits that a candle meets; of crossings, those between its two values."""
+    none = F.slice(limits, 1, 0)
+    known = now.isNotNull() & ~F.isnan(now)
+    crossed = known & before.isNotNull() & ~F.isnan(before)
+    first = (
+        F.when(kind == LOW, 0).when(kind == ABOVE, _bound(limits, before, False)).otherwise(_bound(limits, now, False))
+    )
+    last = (
+        F.when(kind.isin(LOW, EQUAL, ABOVE), _bound(limits, now, True))
+        .when(kind == BELOW, _bound(limits, before, True)).otherwise(F.size(limits))
+    )
+    ranged = F.slice(limits, first + 1, F.greatest(last - first, F.lit(0)))
+    return (
+        F.when(kind.isin(WORD, PLAIN), limits)
+        .when(kind.isin(ABOVE, BELOW), F.when(crossed, ranged).otherwise(none))
+        .otherwise(F.when(known, ranged).otherwise(none))
+    )
+
+
+def _same_series(left: DataFrame, right: DataFrame) -> tuple[DataFrame, Column]:
+    """``right`` with its keys renamed, and the test that both are of one series; nulls are a value."""
+    right = right.withColumnsRenamed({k: f"_{k}" for k in MATCH_KEYS})
+    same = None
+    for key in MATCH_KEYS:
+        equal = F.col(key).eqNullSafe(F.col(f"_{key}"))
+        same = equal if same is None else same & equal
+    return right, same
+
+
+def candidates(prepared: DataFrame, looked_up: DataFrame, condition: Column) -> DataFrame:
+    """Candles with the rules whose entry they meet and that fulfil ``condition``.
+
+    The index holds, for each series, field and kind, the different limits in order. A candle finds the
+    limits it meets by binary search and goes to these alone, so a rule far from a candle's values is
+    never met. Both joins are on equal keys: adaptive execution broadcasts a side it has measured to be
+    small, and splits the candles of a hot series.
     """
-    at, limit = F.col("_first.at"), F.col("_first.limit")
-    number, before, text = F.get("_now", at), F.get("_before", at), F.get("_now_text", at)
-    operator = F.col("_first.operator")
-    plain_text = (at >= numeric_fields) & F.col("_first.value_str").isNotNull()
-    same = F.upper(text) == F.upper(F.col("_first.value_str"))
-    holds = (
-        F.when(operator == ">", number > limit)
-        .when(operator == "<", number < limit)
-        .when(operator == ">=", number >= limit)
-        .when(operator == "<=", number <= limit)
-        .when(operator == "crosses_above", (before <= limit) & (number > limit))
-        .when(operator == "crosses_below", (before >= limit) & (number < limit))
-        .when((operator == "==") & plain_text, same)
-        .when((operator == "!=") & plain_text, ~same)
-        .otherwise(operator.isin("==", "!="))
+    key = [*MATCH_KEYS, F.col("_entry.at").alias("_at"), F.col("_entry.kind").alias("_kind")]
+    index, same = _same_series(
+        prepared, looked_up.groupBy(*key).agg(F.sort_array(F.collect_set("_entry.limit")).alias("_limits"))
     )
-    return (F.col("_logic") != "AND") | F.coalesce(holds, F.lit(False))
+    now, before = F.get("_now", F.col("_at")), F.get("_before", F.col("_at"))
+    met = prepared.join(index, same).withColumn("_limit", F.explode(_met(F.col("_kind"), F.col("_limits"), now, before)))
+    word = F.when(F.col("_kind") == WORD, F.upper(F.get("_now_text", F.col("_at")))).otherwise("")
+    met = met.withColumn("_word", word).drop("_limits", *[f"_{k}" for k in MATCH_KEYS])
+    side, same = _same_series(met, looked_up)
+    same = same & (F.col("_kind") == F.col("_entry.kind")) & (F.col("_at") == F.col("_entry.at"))
+    same = same & (F.col("_limit") == F.col("_entry.limit")) & (F.col("_word") == F.col("_entry.word"))
+    return met.join(side, same & condition).drop("_kind", "_at", "_limit", "_word", "_entry", *[f"_{k}" for k in MATCH_KEYS])
+
+
+def _new_hit() -> Column:
+    """A rule that passes, found by the first of its conditions that does."""
+    earlier = F.slice("_conditions", 1, F.col("_entry.ordinal"))
+    own = F.get("_conditions", F.col("_entry.ordinal"))
+    return rule_passed() & ((F.col("_logic") != "OR") | (_passed(own) & ~F.exists(earlier, _passed)))
 
 
 def active(rules: DataFrame) -> DataFrame:
@@ -178,48 +272,31 @@ def with_previous(candles: DataFrame) -> DataFrame:
     return candles if "prev" in candles.columns else previous_candle(candles)
 
 
-def match(candles: DataFrame, rules: DataFrame, condition: Column | None = None) -> DataFrame:
-    """Candles with the active rules on their symbol and timeframe.
+def matched_candles(candles: DataFrame, rules: DataFrame) -> DataFrame:
+    """For each active rule the candles of its symbol and timeframe: candles, first_time, last_time.
 
-    ``condition`` becomes part of the join, so pairs that fail it are never produced. A rules table
-    measured to be small is broadcast and the candles stay where they are. A larger one is joined on
-    the keys plus a salt: each rule is copied once per salt value, so the candles of one hot symbol
-    spread over SPREAD_COPIES tasks.
+    All rules of a series have the same candles, so these are counted once a series. Rules without a
+    candle are left out.
     """
-    side = active(rules)
-    side = side.select(*[F.col(c).alias(f"rule_{c}" if c in MATCH_KEYS else c) for c in side.columns])
-    on = None
-    for key in MATCH_KEYS:
-        equal = F.col(key).eqNullSafe(F.col(f"rule_{key}"))
-        on = equal if on is None else on & equal
-    if small_enough(rules):
-        # Work per candle grows with the rules, not with its bytes: size-based coalescing would
-        # leave the evaluation to a few tasks.
-        tasks = int(candles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        candles = candles.repartition(tasks, *MATCH_KEYS, "open_time")
-        side = F.broadcast(side)
-    else:
-        candles = candles.withColumn("_salt", F.pmod(F.xxhash64("open_time"), F.lit(SPREAD_COPIES)))
-        side = side.withColumn(
-            "_rule_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SPREAD_COPIES - 1).cast("bigint")))
-        )
-        on = on & (F.col("_salt") == F.col("_rule_salt"))
-    if condition is not None:
-        on = on & condition
-    return candles.join(side, on).drop("rule_symbol", "rule_timeframe", "_salt", "_rule_salt")
+    spans = candles.groupBy(*MATCH_KEYS).agg(
+        F.count("*").alias("candles"), F.min("open_time").alias("first_time"), F.max("open_time").alias("last_time")
+    )
+    spans, same = _same_series(rules, spans)
+    return active(rules).join(spans, same).drop(*[f"_{k}" for k in MATCH_KEYS])
+
+
+def _prepared(candles: DataFrame, numeric: list[str], text: list[str], *columns: Column) -> DataFrame:
+    arrays = _arrays(candles, numeric, text)
+    return candles.select(*MATCH_KEYS, "open_time", *columns, *[c.alias(name) for name, c in arrays.items()])
 
 
 def evaluate(candles: DataFrame, rules: DataFrame) -> DataFrame:
     """Triggered rules: the rule, how every condition went, and the candle that triggered it."""
     candles = with_previous(candles)
     numeric, text = _fields(candles)
-    columns = [c for c in candles.columns if c != "prev"]
-    prepared = candles.select(
-        *MATCH_KEYS, "open_time", F.struct(*columns).alias("triggered_row"),
-        *[c.alias(name) for name, c in _arrays(candles, numeric, text).items()],
-    )
-    passes = _first_may_pass(len(numeric)) & rule_passed()
-    hits = match(prepared, compiled(rules, numeric + text), passes)
+    row = F.struct(*[c for c in candles.columns if c != "prev"]).alias("triggered_row")
+    looked_up = entries(compiled(active(rules), numeric + text), len(numeric))
+    hits = candidates(_prepared(candles, numeric, text, row), looked_up, _new_hit())
     own = [F.col(c) for c in rules.columns if c not in MATCH_KEYS]
     return hits.select(
         *own, *MATCH_KEYS,
@@ -228,27 +305,30 @@ def evaluate(candles: DataFrame, rules: DataFrame) -> DataFrame:
     )
 
 
-def evaluate_conditions(
-    candles: DataFrame, conditions: DataFrame, describe: bool = False
-) -> DataFrame:
-    """Every condition (``condition_id`` and its parts) against every candle of its series."""
-    rules = conditions.select(
-        "symbol", "timeframe", "condition_id",
-        F.array(F.struct("field", "operator", "value_num", "value_str")).alias("conditions"),
-        F.lit("AND").alias("logic"), F.lit(True).alias("is_active"),
-    )
+def condition_hits(candles: DataFrame, conditions: DataFrame) -> DataFrame:
+    """Every condition (``condition_id`` and its parts): hits, first_time, and without_previous.
+
+    ``without_previous`` counts the candles of its series that have no earlier value of its field. Candles
+    meet only the conditions they fulfil, conditions without a candle in their series are left out.
+    """
     candles = with_previous(candles)
     numeric, text = _fields(candles)
-    prepared = candles.select(
-        *MATCH_KEYS, "open_time",
-        *[c.alias(name) for name, c in _arrays(candles, numeric, text).items()],
+    rules = compiled(conditions.select(
+        *MATCH_KEYS, "condition_id", F.array(F.struct("field", "operator", "value_num", "value_str")).alias("conditions"),
+        F.lit("AND").alias("logic"),
+    ), numeric + text)
+    prepared = _prepared(candles, numeric, text)
+    hits = candidates(prepared, entries(rules, len(numeric)), _new_hit()).groupBy("condition_id").agg(
+        F.count("*").alias("hits"), F.min("open_time").alias("first_time")
     )
-    pairs = match(prepared, compiled(rules, numeric + text).drop("_conditions", "conditions"))
-    first = F.col("_first")
-    words = [_described(first).alias("description")] if describe else []
-    return pairs.select(
-        *MATCH_KEYS, "open_time", "condition_id", _passed(first).alias("passed"),
-        F.get("_before", first["at"]).alias("previous"), *words,
+    lacking = prepared.groupBy(*MATCH_KEYS).agg(F.array(*[
+        F.count_if(F.get("_before", F.lit(k)).isNull()) for k in range(len(numeric) + len(text))
+    ]).alias("_lacking"), F.count("*").alias("_rows"))
+    lacking, same = _same_series(rules, lacking)
+    at = F.col("_first.at")
+    return rules.join(lacking, same).join(hits, "condition_id", "left").select(
+        *MATCH_KEYS, "condition_id", F.coalesce("hits", F.lit(0)).alias("hits"), "first_time",
+        F.when(at < 0, F.col("_rows")).otherwise(F.get("_lacking", at)).alias("without_previous"),
     )
 
 

@@ -269,9 +269,8 @@ def rule_normalize(spark, sf_dir):
 
 @query
 def rule_match(spark, sf_dir):
-    return R.match(hourly(spark, sf_dir), feeds.rules(spark, sf_dir)).groupBy("rule_id", "symbol").agg(
-        F.count("*").alias("candles"), F.min("open_time").alias("first_time"), F.max("open_time").alias("last_time")
-    )
+    found = R.matched_candles(hourly(spark, sf_dir), feeds.rules(spark, sf_dir))
+    return found.select("rule_id", "symbol", "candles", "first_time", "last_time")
 
 
 @query
@@ -311,11 +310,8 @@ def _crossing(spark, sf_dir, operator):
         k.alias("condition_id"), F.lit("close").alias("field"), F.lit(operator).alias("operator"),
         (20 + k % 100).cast("double").alias("value_num"), F.lit(None).cast("string").alias("value_str"),
     )
-    checked = R.evaluate_conditions(series(spark, sf_dir), lines)
-    return checked.groupBy("condition_id").agg(
-        F.count_if("passed").alias("crossings"),
-        F.min(F.when(F.col("passed"), F.col("open_time"))).alias("first_time"),
-        F.count_if(F.col("previous").isNull()).alias("without_previous"),
+    return R.condition_hits(series(spark, sf_dir), lines).select(
+        "condition_id", F.col("hits").alias("crossings"), "first_time", "without_previous"
     )
 
 

@@ -4,7 +4,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -39,12 +38,3 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     path = shared_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def small_enough(df: DataFrame, max_rows: int = 100_000, max_bytes: int = 64 << 20) -> bool:
-    """Measure a side before broadcasting it: at most max_rows rows and max_bytes as JSON text."""
-    width = F.octet_length(F.to_json(F.struct("*")))
-    rows, size = (
-        df.limit(max_rows + 1).agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
-    )
-    return rows <= max_rows and size <= max_bytes

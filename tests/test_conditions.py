@@ -1,5 +1,7 @@
 """Every branch of condition and rule evaluation on hand-made rows."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from candlewright.operators import rules as R
@@ -141,15 +143,50 @@ def test_matching(spark):
     )
 
 
-def test_large_rule_tables_join_on_a_salt_with_the_same_result(spark, sf_dir, monkeypatch):
+def test_large_rule_tables_join_on_equal_keys_with_the_same_result(spark, sf_dir):
     from candlewright.plans import queries as Q
 
     candles = Q.hourly_indicators(spark, sf_dir)
     rules = Q.feeds.rules(spark, sf_dir)
     columns = ["rule_id", "symbol", "conditions_met"]
     small = sorted(map(str, R.evaluate(candles, rules).select(*columns).collect()))
-    monkeypatch.setattr(R, "small_enough", lambda df: False)
-    large = R.evaluate(candles, rules).select(*columns)
-    assert sorted(map(str, large.collect())) == small
-    plan = large._jdf.queryExecution().executedPlan().toString()
-    assert "_salt" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = R.evaluate(candles, rules).select(*columns)
+        assert sorted(map(str, large.collect())) == small
+        plan = large._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert not any(name in plan for name in ("Broadcast", "CartesianProduct", "NestedLoop"))
+
+
+def test_index_finds_what_all_pairs_find(spark):
+    rng = random.Random(17)
+    numbers = [None, float("nan"), float("inf"), -0.0, 0.0, 1.0, 1.5, 2.0, 30.0]
+    candles = spark.createDataFrame(
+        [(rng.choice(["X", "Y", None]), rng.choice(["1h", "4h"]), rng.choice(numbers), rng.choice(numbers), rng.choice([None, "DOJI", "doji", "30", "1.5"]), k)
+         for k in range(150)],
+        "symbol string, timeframe string, close double, rsi_14 double, candle_pattern string, k int",
+    ).withColumn("open_time", F.timestamp_seconds(F.col("k") * 3600))
+
+    def condition():
+        field = rng.choice(["close", "rsi_14", "candle_pattern", "absent", None])
+        operator = rng.choice([">", "<", ">=", "<=", "==", "!=", "crosses_above", "crosses_below", "~", None])
+        text = rng.choice([None, None, "Doji", "30", "1.50", "2", "nan"])
+        return field, operator, rng.choice(numbers) if text is None or rng.random() < 0.3 else None, text
+
+    rules = [
+        (f"r{k % 590}", rng.choice(["X", "Y", None]), rng.choice(["1h", "4h"]), [condition() for _ in range(rng.randint(0, 3))], rng.choice(["AND", "OR", "or", None, "XOR"]), True)
+        for k in range(600)
+    ]
+    table = spark.createDataFrame(rules + rules[:5], RULE)
+    got = sorted((r.rule_id, str(r.conditions_met), r.triggered_row.k) for r in R.evaluate(candles, table).collect())
+    prepared = R.with_previous(candles)
+    numeric, text = R._fields(prepared)
+    left = R._prepared(prepared, numeric, text, F.col("k"))
+    right = R.compiled(table, numeric + text).withColumnsRenamed({"symbol": "s", "timeframe": "t"})
+    same = F.col("symbol").eqNullSafe(F.col("s")) & F.col("timeframe").eqNullSafe(F.col("t"))
+    words = F.transform("_conditions", R._described).alias("words")
+    pairs = left.join(right, same).where(R.rule_passed()).select("rule_id", words, "k").collect()
+    assert got == sorted((r.rule_id, str(r.words), r.k) for r in pairs) and len(got) > 800
