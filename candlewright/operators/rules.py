@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 from candlewright import fixed
 from candlewright.functions.numbers import number_text, to_number
 from candlewright.operators.indicators import previous_candle
+from candlewright.session import stored
 
 MATCH_KEYS = ("symbol", "timeframe")
 #: How a condition is looked up, those that fewest candles meet first. PLAIN ones are looked up by no value.
@@ -294,8 +295,12 @@ def evaluate(candles: DataFrame, rules: DataFrame) -> DataFrame:
     """Triggered rules: the rule, how every condition went, and the candle that triggered it."""
     candles = with_previous(candles)
     numeric, text = _fields(candles)
+    # Work per candle grows with the rules it meets, not with its bytes, by which tasks would be coalesced.
+    tasks = int(candles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    candles = candles.repartition(tasks, *MATCH_KEYS, "open_time")
     row = F.struct(*[c for c in candles.columns if c != "prev"]).alias("triggered_row")
-    looked_up = entries(compiled(active(rules), numeric + text), len(numeric))
+    # Read twice, and a stored table has a known size, by which Spark decides whether to broadcast it.
+    looked_up = stored(entries(compiled(active(rules), numeric + text), len(numeric)), "rule-entries")
     hits = candidates(_prepared(candles, numeric, text, row), looked_up, _new_hit())
     own = [F.col(c) for c in rules.columns if c not in MATCH_KEYS]
     return hits.select(
@@ -318,7 +323,7 @@ def condition_hits(candles: DataFrame, conditions: DataFrame) -> DataFrame:
         F.lit("AND").alias("logic"),
     ), numeric + text)
     prepared = _prepared(candles, numeric, text)
-    hits = candidates(prepared, entries(rules, len(numeric)), _new_hit()).groupBy("condition_id").agg(
+    hits = candidates(prepared, stored(entries(rules, len(numeric)), "rule-entries"), _new_hit()).groupBy("condition_id").agg(
         F.count("*").alias("hits"), F.min("open_time").alias("first_time")
     )
     lacking = prepared.groupBy(*MATCH_KEYS).agg(F.array(*[
