@@ -535,8 +535,7 @@ UNION ALL SELECT {SHOWN} FROM stored_shown WHERE rule_id NOT IN (SELECT rule_id
 
 # --- streams -------------------------------------------------------------------------------------
 
-oracle("stream_ohlcv", ["candles"], f"""
-SELECT {CANDLE} FROM candles WHERE open_time + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTES""")
+oracle("stream_ohlcv", ["candles"], f"SELECT {CANDLE} FROM candles")
 oracle("stream_dedup", ["alerts"], "SELECT alert_id, rule_id, triggered_at FROM alerts")
 oracle("stream_rules", ["triggered"], """
 SELECT sha256(rule_id || '|' || symbol || '|' || timeframe || '|' || epoch_us(open_time)) AS alert_id, rule_id,

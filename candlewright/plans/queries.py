@@ -591,7 +591,11 @@ def rules_apply_log(spark, sf_dir):
 def stream_ohlcv(spark, sf_dir):
     ticks = feeds.ticks_of(feeds.stream(spark, sf_dir, "events"))
     path = shared_dir(spark, "stream-candles")
-    jobs.to_files(jobs.stream_candles(ticks, "1h"), path, f"{path}-state").awaitTermination()
+    made = jobs.stream_candles(jobs.with_closing(ticks, f"{path}-end"), "1h")
+    jobs.to_files(made, path, f"{path}-state").awaitTermination()
+    # The stream has ended: a second run from its checkpoint hands out the windows that are still open.
+    jobs.close(feeds.ticks(spark, sf_dir), f"{path}-end", "1h")
+    jobs.to_files(made, path, f"{path}-state").awaitTermination()
     return spark.read.parquet(path).select(*CANDLE)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from candlewright.functions.timeframes import window_length
 from candlewright.operators import candles as C
 from candlewright.operators.alerts import to_alerts
 from candlewright.operators.rules import evaluate
@@ -23,6 +24,27 @@ def stream_candles(ticks: DataFrame, timeframe: str, delay: str = DELAY) -> Data
     return C.candles(with_watermark(ticks, "ts", delay), timeframe)
 
 
+def with_closing(ticks: DataFrame, folder: str) -> DataFrame:
+    """``ticks`` together with what ``close`` puts in ``folder``, as one stream."""
+    spark = ticks.sparkSession
+    spark.createDataFrame([], ticks.schema).write.mode("append").parquet(folder)
+    return ticks.unionByName(spark.readStream.schema(ticks.schema).parquet(folder))
+
+
+def close(ticks: DataFrame, folder: str, timeframe: str, delay: str = DELAY, ts_col: str = "ts") -> None:
+    """Ends a bounded stream: the next run over it moves its watermark past the last window of ``ticks``.
+
+    A row of that time alone is put into the folder. Its own window, which no symbol has, stays open, so
+    it reaches no sink; of an empty table nothing is written.
+    """
+    after = F.expr(f"INTERVAL {window_length(timeframe)}") + F.expr(f"INTERVAL {delay}") + F.expr("INTERVAL 1 SECOND")
+    last = ticks.agg(F.max(F.col(ts_col).cast("timestamp")).alias("_last")).where("_last IS NOT NULL")
+    columns = [
+        ((F.col("_last") + after) if f.name == ts_col else F.lit(None)).cast(f.dataType).alias(f.name) for f in ticks.schema
+    ]
+    last.select(*columns).write.mode("append").parquet(folder)
+
+
 def without_repeats(alerts: DataFrame, delay: str = DELAY) -> DataFrame:
     """Alerts whose id was not seen within the watermark: retried sends repeat an id."""
     return with_watermark(alerts, "triggered_at", delay).dropDuplicatesWithinWatermark(["alert_id"])
