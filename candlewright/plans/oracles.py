@@ -315,11 +315,15 @@ SELECT 'raw-crypto-ticks' AS topic, (event_id % 5)::integer AS partition, event_
   '{"symbol":"' || event_type || '","ts":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '","price":' || value::varchar
   || ',"quantity":' || (props->>'$.k')::double::varchar || ',"trade_id":' || event_id || '}' AS payload,
   ts AS ingest_time, ts::date AS ingest_date FROM events""")
-oracle("silver_table", ["rolled"], f"SELECT {CANDLE}, ma7, open_time::date::varchar AS day FROM rolled")
-oracle("gold_table", ["ticks"], "SELECT open_time::date::varchar AS day, timeframe, count(*) AS candles, max(high) AS high, min(low) AS low FROM ("
+ROUNDED = ["rsi_14", "macd", "macd_signal", "macd_hist", "ma7", "ma25", "ma99", "bb_upper", "bb_lower", "atr_14"]
+oracle("silver_table", ["indicators", "macd_lines"], f"""
+SELECT {KEY}, i.open, i.high, i.low, i.close, i.volume, {", ".join(f"round({c}, 6) AS {c}" for c in ROUNDED)},
+  volume_ratio, price_change_pct, candle_pattern, open_time::date::varchar AS day
+FROM indicators i JOIN macd_lines m USING ({KEY})""")
+oracle("gold_table", ["ticks"], "SELECT *, open_time::date::varchar AS day, CASE WHEN volume <> 0 THEN notional / volume END AS vwap FROM ("
        + " UNION ALL ".join(f"SELECT * FROM ({_candles(s, n)})" for n, s in
        [("1m", 60), ("3m", 180), ("5m", 300), ("15m", 900), ("30m", 1800), ("1h", 3600), ("4h", 14400), ("1d", 86400)])
-       + ") GROUP BY ALL")
+       + ")")
 oracle("backfill_merge", ["candles"], f"""
 SELECT {KEY}, open, high, low, CASE WHEN day(open_time) % 3 <> 0 THEN close ELSE close + 1 END AS close, volume FROM candles""")
 oracle("silver_clean", ["ticks"], f""", clean AS (

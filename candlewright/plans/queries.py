@@ -111,17 +111,19 @@ def rules_source(spark, sf_dir):
 @query
 def silver_table(spark, sf_dir):
     path = shared_dir(spark, "silver")
-    tables.write_days(I.moving_averages(series(spark, sf_dir)), path)
-    return tables.read_days(spark, path).select(*CANDLE, "ma7", F.col("day").cast("string").alias("day"))
+    tables.write_days(I.with_indicators(series(spark, sf_dir)), path)
+    rounded = ["rsi_14", "macd", "macd_signal", "macd_hist", "ma7", "ma25", "ma99", "bb_upper", "bb_lower", "atr_14"]
+    return tables.read_days(spark, path).select(
+        *CANDLE, *[F.round(c, 6).alias(c) for c in rounded], "volume_ratio", "price_change_pct", "candle_pattern",
+        F.col("day").cast("string").alias("day"),
+    )
 
 
 @query
 def gold_table(spark, sf_dir):
     path = shared_dir(spark, "gold")
     tables.write_days(C.all_timeframes(C.candles(feeds.ticks(spark, sf_dir), "1m")), path)
-    return tables.read_days(spark, path).groupBy(F.col("day").cast("string").alias("day"), "timeframe").agg(
-        F.count("*").alias("candles"), F.max("high").alias("high"), F.min("low").alias("low")
-    )
+    return tables.read_days(spark, path).select(*CANDLE, "notional", "vwap", F.col("day").cast("string").alias("day"))
 
 
 @query
