@@ -545,10 +545,12 @@ oracle("stream_rules", ["triggered"], """
 SELECT sha256(rule_id || '|' || symbol || '|' || timeframe || '|' || epoch_us(open_time)) AS alert_id, rule_id,
   open_time + INTERVAL 1 HOUR AS triggered_at, close AS close_price FROM triggered""")
 ORACLES["stream_cooldown"] = ORACLES["cooldown"]
-oracle("stream_indicators", ["indicators", "macd_lines"], f"""
-SELECT {KEY}, round(macd, 6) AS macd, round(macd_signal, 6) AS macd_signal, round(macd_hist, 6) AS macd_hist,
-  round(ma7, 6) AS ma7, round(ma25, 6) AS ma25, round(ma99, 6) AS ma99, round(rsi_14, 6) AS rsi_14
-FROM indicators JOIN macd_lines USING ({KEY})""")
+SHOWN_ROUNDED = ", ".join(f"round({c}, 6) AS {c}" for c in [*ROUNDED, "volume_ratio", "price_change_pct"])
+oracle("stream_indicators", ["indicators", "macd_lines"], f""", shown AS (
+SELECT {KEY}, i.open, i.high, i.low, i.close, i.volume, {SHOWN_ROUNDED}, candle_pattern
+FROM indicators i JOIN macd_lines m USING ({KEY}))
+SELECT *, lag(open_time) {SERIES} AS prev_time, lag(close) {SERIES} AS prev_close, lag(rsi_14) {SERIES} AS prev_rsi,
+  lag(macd_hist) {SERIES} AS prev_hist, lag(candle_pattern) {SERIES} AS prev_pattern FROM shown""".lstrip())
 oracle("medallion_run", ["minutes"], """, clean AS (
 SELECT * FROM minutes WHERE open > 0 AND high > 0 AND low > 0 AND close > 0)
 """.lstrip() + " UNION ALL ".join(f"""

@@ -612,10 +612,10 @@ def stream_dedup(spark, sf_dir):
 
 @query
 def stream_rules(spark, sf_dir):
-    gold = shared_dir(spark, "indicator-candles")
-    made = hourly_indicators(spark, sf_dir)
+    gold = shared_dir(spark, "rule-candles")
+    made = hourly(spark, sf_dir).select(*CANDLE, "vwap")
     made.write.parquet(gold)
-    candles = spark.readStream.schema(made.schema).parquet(gold)
+    candles = state.stream_indicators(spark.readStream.schema(made.schema).parquet(gold))
     path = shared_dir(spark, "rule-alerts")
     jobs.stream_alerts(
         candles, lambda: feeds.rules(spark, sf_dir), path, f"{path}-state"
@@ -644,8 +644,13 @@ def stream_indicators(spark, sf_dir):
     path = shared_dir(spark, "series-indicators")
     jobs.to_files(state.stream_indicators(stream), path, f"{path}-state").awaitTermination()
     out = spark.read.parquet(path)
-    rounded = ["macd", "macd_signal", "macd_hist", "ma7", "ma25", "ma99", "rsi_14"]
-    return out.select(*KEY, *[F.round(c, 6).alias(c) for c in rounded])
+    rounded = ["rsi_14", "macd", "macd_signal", "macd_hist", "ma7", "ma25", "ma99", "bb_upper", "bb_lower", "atr_14",
+               "volume_ratio", "price_change_pct"]
+    return out.select(
+        *CANDLE, *[F.round(c, 6).alias(c) for c in rounded], "candle_pattern", F.col("prev.open_time").alias("prev_time"),
+        F.col("prev.close").alias("prev_close"), F.round("prev.rsi_14", 6).alias("prev_rsi"),
+        F.round("prev.macd_hist", 6).alias("prev_hist"), F.col("prev.candle_pattern").alias("prev_pattern"),
+    )
 
 
 @query

@@ -68,15 +68,50 @@ def split_by_time(spark, df, path, ts_col, parts):
 
 
 def test_indicator_state_carries_across_batches(spark, sf_dir, tmp_path):
-    candles = Q.hourly(spark, sf_dir).select(*Q.CANDLE)
-    stream = split_by_time(spark, candles, str(tmp_path / "in"), "open_time", 5)
+    """All fields and ``prev`` equal the batch form over six micro-batches, two of them replayed and late candles."""
+    candles = Q.hourly(spark, sf_dir).select(*Q.CANDLE, "vwap").cache()
+    folder = str(tmp_path / "in")
+    stream = split_by_time(spark, candles, folder, "open_time", 4)
+    spans = candles.agg(F.min("open_time"), F.max("open_time")).first()
+    late = candles.filter(F.col("open_time") < spans[0] + (spans[1] - spans[0]) / 3).withColumn("close", F.col("close") * 2)
     out = str(tmp_path / "out")
-    jobs.to_files(state.stream_indicators(stream), out, str(tmp_path / "ckpt")).awaitTermination()
+    run = lambda: jobs.to_files(state.stream_indicators(stream), out, str(tmp_path / "ckpt")).awaitTermination()
+    run()
+    late.coalesce(1).write.parquet(f"{folder}/late")
+    candles.coalesce(1).write.parquet(f"{folder}/replayed")
+    run()
     want = I.with_indicators(candles, previous=True).orderBy("symbol", "open_time").toPandas()
     got = spark.read.parquet(out).orderBy("symbol", "open_time").toPandas()
     assert len(got) == len(want)
-    for name in ("macd", "macd_signal", "macd_hist", "ma7", "ma25", "ma99", "rsi_14", "price_change_pct"):
+    for name in state.NUMBERS:
         assert list(got[name]) == pytest.approx(list(want[name]), abs=1e-8, nan_ok=True), name
+    assert list(got["candle_pattern"]) == list(want["candle_pattern"])
+    known = [(g, w) for g, w in zip(got["prev"], want["prev"], strict=True) if g is not None or w is not None]
+    assert len(known) == len(want) - want["symbol"].nunique()
+    for g, w in known:
+        assert (g["open_time"], g["candle_pattern"]) == (w["open_time"], w["candle_pattern"])
+        for name in state.NUMBERS:
+            assert (g[name] is None) == (w[name] is None) and (g[name] is None or abs(g[name] - w[name]) < 1e-8), name
+
+
+def test_closing_a_bounded_stream_hands_out_its_last_windows(spark, tmp_path):
+    rows = [(k, "X", 1.0 + k, 1.0, 3000 * k) for k in range(6)]
+    ticks = spark.createDataFrame(rows, "trade_id bigint, symbol string, price double, quantity double, t bigint").select(
+        "trade_id", "symbol", "price", "quantity", F.timestamp_seconds("t").alias("ts")
+    )
+    ticks.write.parquet(str(tmp_path / "in"))
+    out, end, ckpt = (str(tmp_path / name) for name in ("out", "end", "ckpt"))
+    source = spark.readStream.schema(ticks.schema).parquet(str(tmp_path / "in"))
+    made = jobs.stream_candles(jobs.with_closing(source, end), "1h")
+    jobs.to_files(made, out, ckpt).awaitTermination()
+    assert spark.read.parquet(out).count() == 4
+    jobs.close(ticks.limit(0), end, "1h")
+    jobs.to_files(made, out, ckpt).awaitTermination()
+    assert spark.read.parquet(out).count() == 4
+    jobs.close(ticks, end, "1h")
+    jobs.to_files(made, out, ckpt).awaitTermination()
+    found = spark.read.parquet(out)
+    assert found.count() == 5 and {r.symbol for r in found.collect()} == {"X"}
 
 
 def test_cooldown_state_carries_across_batches(spark, tmp_path):
