@@ -262,7 +262,8 @@ def _new_hit() -> Column:
     """A rule that passes, found by the first of its conditions that does."""
     earlier = F.slice("_conditions", 1, F.col("_entry.ordinal"))
     own = F.get("_conditions", F.col("_entry.ordinal"))
-    return rule_passed() & ((F.col("_logic") != "OR") | (_passed(own) & ~F.exists(earlier, _passed)))
+    every = (F.size("_conditions") > 0) & F.forall("_conditions", _passed)
+    return F.when(F.col("_logic") == "AND", every).when(F.col("_logic") == "OR", _passed(own) & ~F.exists(earlier, _passed)).otherwise(False)
 
 
 def active(rules: DataFrame) -> DataFrame:
