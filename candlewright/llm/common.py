@@ -1,6 +1,8 @@
 """Small helpers shared by the corpus operators."""
 
+import gc
 import sys
+import time
 import types
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +24,17 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
+def released(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished steps now, not when the driver next collects its garbage.
+
+    What the first round frees still holds what the second can free.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
+
+
 def per_worker(name: str, build):
     """What ``build`` returns, made once in each Python worker and kept for its later tasks."""
     kept = sys.modules.setdefault("_candlewright_worker", types.ModuleType("_candlewright_worker"))

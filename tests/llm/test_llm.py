@@ -397,3 +397,17 @@ def test_pipeline_stages(spark):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SMALL).count() == 0
+
+
+def test_very_long_lines_are_compared_by_units(spark):
+    rng = random.Random(21)
+    words = ["".join(rng.choice("abcdefghijkl") for _ in range(rng.randint(3, 9))) for _ in range(40_000)]
+    copy = ["other" + str(k) if k % 300 == 0 else w for k, w in enumerate(words)]
+    moved = ["inserted"] * 2500 + words
+    far = [w if k % 5 < 3 else "x" + str(k) for k, w in enumerate(words)]
+    long = [" ".join(w) for w in (words, copy, moved, far)]
+    assert len(long[0]) > 250_000
+    table = spark.createDataFrame([(long[0], t) for t in long[1:]] + [(" ".join(words[:3000]), " ".join(copy[:3000])), (long[0][:9000], long[3][:9000])], "a string, b string")
+    assert [r[0] for r in table.select(lines.similar(F.col("a"), F.col("b"), 0.8)).collect()] == [True, True, False, True, False]
+    df = docs_frame(spark, [long[0], long[1], "short line", "short line too"])
+    assert {r.doc_id for r in lines.repeated_lines(df).collect()} == {1}
