@@ -411,3 +411,14 @@ def test_very_long_lines_are_compared_by_units(spark):
     assert [r[0] for r in table.select(lines.similar(F.col("a"), F.col("b"), 0.8)).collect()] == [True, True, False, True, False]
     df = docs_frame(spark, [long[0], long[1], "short line", "short line too"])
     assert {r.doc_id for r in lines.repeated_lines(df).collect()} == {1}
+
+
+def test_words_encoded_in_runs_equal_words_alone():
+    coder = packing.WordTokenizer(queries.vocabulary("word_bpe_49k.json"), special_as_text=False)
+    rng = random.Random(31)
+    alphabet = "abcXYZ019|'.,-_é日𝒳́​\xa0 <>/ﬁ½"
+    words = ["|", "a|b", "<|endoftext|>", "x<|startoftext|>y", "don't", "｜", "\u0085", "﻿", "'s", "i'll|"]
+    words += ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 9))) for _ in range(3000)]
+    words = [w.encode() for w in dict.fromkeys(words)]
+    alone = [np.array(coder.tokenizer.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes() for w in words]
+    assert coder.coded(words) == alone
