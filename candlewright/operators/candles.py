@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewright.fixed import TIMEFRAME_SECONDS
-from candlewright.functions.numbers import exact_sum, significant
+from candlewright.functions.numbers import exact_sums
 from candlewright.functions.timeframes import window_length
 
 
@@ -19,6 +19,13 @@ def _trade_order(ts: Column, trade_id: Column) -> Column:
     ).cast("decimal(38,0)")
 
 
+def _merged() -> dict[str, Column]:
+    """How the places of one candle are put together."""
+    return {
+        "open": F.min_by("open", "_first"), "high": F.max("high"), "low": F.min("low"), "close": F.max_by("close", "_last"),
+    }
+
+
 def candles(ticks: DataFrame, timeframe: str, by_sequence: bool = False) -> DataFrame:
     """OHLCV per symbol and tumbling window, with traded value and VWAP.
 
@@ -30,48 +37,48 @@ def candles(ticks: DataFrame, timeframe: str, by_sequence: bool = False) -> Data
     """
     span = F.window("ts", window_length(timeframe))
     order = F.col("trade_id") if by_sequence else _trade_order(F.col("ts"), F.col("trade_id"))
-    return (
-        ticks.withColumn("_order", order)
-        .groupBy("symbol", span.alias("_span"))
-        .agg(
-            F.min_by("price", "_order").alias("open"),
-            F.max("price").alias("high"),
-            F.min("price").alias("low"),
-            F.max_by("price", "_order").alias("close"),
-            exact_sum(F.col("quantity")).alias("volume"),
-            exact_sum(significant(F.col("price") * F.col("quantity"))).alias("notional"),
-        )
-        .select(
-            "symbol",
-            F.lit(timeframe).alias("timeframe"),
-            F.col("_span.start").alias("open_time"),
-            "open", "high", "low", "close", "volume", "notional",
-            F.try_divide("notional", "volume").alias("vwap"),
-        )
+    made = exact_sums(
+        ticks.withColumn("_order", order),
+        ["symbol", span.alias("_span")],
+        {"volume": F.col("quantity"), "notional": F.col("price") * F.col("quantity")},
+        {
+            "open": F.min_by("price", "_order"), "_first": F.min("_order"),
+            "high": F.max("price"), "low": F.min("price"),
+            "close": F.max_by("price", "_order"), "_last": F.max("_order"),
+        },
+        _merged(),
+    )
+    return _shown(made.withColumn("open_time", F.col("_span.start")), F.lit(timeframe))
+
+
+def _shown(made: DataFrame, timeframe: Column) -> DataFrame:
+    return made.select(
+        "symbol", timeframe.alias("timeframe"), "open_time", "open", "high", "low", "close", "volume", "notional",
+        F.try_divide("notional", "volume").alias("vwap"),
+    )
+
+
+def _merge(base: DataFrame, keys: list) -> DataFrame:
+    """Shorter candles to longer ones: exact sums of their volumes and values."""
+    return exact_sums(
+        base, keys, {"volume": F.col("volume"), "notional": F.col("notional")},
+        {
+            "open": F.min_by("open", "open_time"), "_first": F.min("open_time"),
+            "high": F.max("high"), "low": F.min("low"),
+            "close": F.max_by("close", "open_time"), "_last": F.max("open_time"),
+        },
+        _merged(),
     )
 
 
 def roll_up(base: DataFrame, timeframe: str) -> DataFrame:
-    """Candles of a longer timeframe from shorter ones; equals aggregating the ticks directly."""
+    """Candles of a longer timeframe from shorter ones.
+
+    Equals aggregating the ticks directly, but that a candle's volume and value are the exact sums of
+    those of the shorter candles, which are rounded once each.
+    """
     span = F.window("open_time", window_length(timeframe))
-    return (
-        base.groupBy("symbol", span.alias("_span"))
-        .agg(
-            F.min_by("open", "open_time").alias("open"),
-            F.max("high").alias("high"),
-            F.min("low").alias("low"),
-            F.max_by("close", "open_time").alias("close"),
-            exact_sum(F.col("volume")).alias("volume"),
-            exact_sum(F.col("notional")).alias("notional"),
-        )
-        .select(
-            "symbol",
-            F.lit(timeframe).alias("timeframe"),
-            F.col("_span.start").alias("open_time"),
-            "open", "high", "low", "close", "volume", "notional",
-            F.try_divide("notional", "volume").alias("vwap"),
-        )
-    )
+    return _shown(_merge(base, ["symbol", span.alias("_span")]).withColumn("open_time", F.col("_span.start")), F.lit(timeframe))
 
 
 def all_timeframes(minute: DataFrame) -> DataFrame:
@@ -87,26 +94,10 @@ def all_timeframes(minute: DataFrame) -> DataFrame:
     ])
     base = ["symbol", "timeframe", "open_time", "open", "high", "low", "close", "volume",
             "notional", "vwap"]
-    longer = (
-        minute.drop("timeframe")
-        .withColumn("_target", F.explode(targets))
-        .withColumn("_at", F.unix_seconds("open_time"))
-        .groupBy(
-            "symbol",
-            F.col("_target.timeframe").alias("timeframe"),
-            (F.col("_at") - F.pmod(F.col("_at"), F.col("_target.seconds"))).alias("_start"),
-        )
-        .agg(
-            F.min_by("open", "open_time").alias("open"),
-            F.max("high").alias("high"),
-            F.min("low").alias("low"),
-            F.max_by("close", "open_time").alias("close"),
-            exact_sum(F.col("volume")).alias("volume"),
-            exact_sum(F.col("notional")).alias("notional"),
-        )
-        .withColumn("open_time", F.timestamp_seconds("_start"))
-        .withColumn("vwap", F.try_divide("notional", "volume"))
-    )
+    fanned = minute.drop("timeframe").withColumn("_target", F.explode(targets)).withColumn("_at", F.unix_seconds("open_time"))
+    start = F.col("_at") - F.pmod(F.col("_at"), F.col("_target.seconds"))
+    longer = _merge(fanned, ["symbol", F.col("_target.timeframe").alias("timeframe"), start.alias("_start")])
+    longer = _shown(longer.withColumn("open_time", F.timestamp_seconds("_start")), F.col("timeframe"))
     return minute.select(base).unionByName(longer.select(base))
 
 
@@ -114,19 +105,15 @@ def typical_vwap(candle: DataFrame, timeframe: str) -> DataFrame:
     """VWAP over a longer window when only candles exist, from (high + low + close) / 3."""
     typical = (F.col("high") + F.col("low") + F.col("close")) / 3
     span = F.window("open_time", window_length(timeframe))
-    return (
-        candle.groupBy("symbol", span.alias("_span"))
-        .agg(
-            exact_sum(significant(typical * F.col("volume"))).alias("_value"),
-            exact_sum(F.col("volume")).alias("volume"),
-        )
-        .select(
-            "symbol",
-            F.lit(timeframe).alias("timeframe"),
-            F.col("_span.start").alias("open_time"),
-            "volume",
-            F.try_divide("_value", "volume").alias("vwap"),
-        )
+    return exact_sums(
+        candle, ["symbol", span.alias("_span")],
+        {"_value": typical * F.col("volume"), "volume": F.col("volume")},
+    ).select(
+        "symbol",
+        F.lit(timeframe).alias("timeframe"),
+        F.col("_span.start").alias("open_time"),
+        "volume",
+        F.try_divide("_value", "volume").alias("vwap"),
     )
 
 
@@ -136,11 +123,12 @@ def volume_profile(ticks: DataFrame, step: float) -> DataFrame:
     The point of control is looked up among the finished buckets of a symbol's day, which the day's
     price range bounds, so the ticks are read once.
     """
-    profile = ticks.groupBy(
-        "symbol",
-        F.to_date("ts").alias("day"),
-        F.floor(F.col("price") / F.lit(step)).alias("bucket"),
-    ).agg(exact_sum(F.col("quantity")).alias("volume"), F.count("*").alias("trades"))
+    profile = exact_sums(
+        ticks,
+        ["symbol", F.to_date("ts").alias("day"), F.floor(F.col("price") / F.lit(step)).alias("bucket")],
+        {"volume": F.col("quantity")},
+        {"trades": F.count("*")}, {"trades": F.sum("trades")},
+    )
     day = Window.partitionBy("symbol", "day")
     return profile.withColumn("_control", _control().over(day)).select(
         "symbol", "day", "bucket",

@@ -26,16 +26,32 @@ def _bucket(seconds: int, ts: str) -> str:
     return f"make_timestamp((epoch_us({ts}) // {seconds * 1000000}) * {seconds * 1000000})"
 
 
+def _exact(value: str) -> str:
+    """Sum of doubles without rounding, as integers in units of 2^-64, rounded once at the end."""
+    half = 2 ** 52
+    units = f"sum((({value}) * {2 ** 64}.0::double)::hugeint)"
+    return f"(({units} // {half})::double * {half}.0::double + ({units} % {half})::double) / {2 ** 64}.0::double"
+
+
 def _candles(seconds: int, name: str) -> str:
     return f"""
 SELECT symbol, '{name}' AS timeframe, {_bucket(seconds, 'ts')} AS open_time,
   arg_min(price, (ts, trade_id)) AS open, max(price) AS high, min(price) AS low,
   arg_max(price, (ts, trade_id)) AS close,
   sum(quantity::decimal(18,0))::double AS volume,
-  sum(price::decimal(18,2) * quantity::decimal(18,0))::double AS notional
+  {_exact('price * quantity')} AS notional
 FROM ticks GROUP BY ALL"""
 
 
+def _longer(seconds: int, name: str) -> str:
+    """Candles of a longer timeframe from those of minutes."""
+    return f"""
+SELECT symbol, '{name}' AS timeframe, {_bucket(seconds, 'm.open_time')} AS open_time,
+  arg_min(open, m.open_time) AS open, max(high) AS high, min(low) AS low, arg_max(close, m.open_time) AS close,
+  sum(volume::decimal(18,0))::double AS volume, {_exact('notional')} AS notional
+FROM minutes m GROUP BY symbol, 3"""
+
+
 def _frame(n: int) -> str:
     return f"OVER (PARTITION BY symbol, timeframe ORDER BY open_time ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
 
@@ -320,8 +336,8 @@ oracle("silver_table", ["indicators", "macd_lines"], f"""
 SELECT {KEY}, i.open, i.high, i.low, i.close, i.volume, {", ".join(f"round({c}, 6) AS {c}" for c in ROUNDED)},
   volume_ratio, price_change_pct, candle_pattern, open_time::date::varchar AS day
 FROM indicators i JOIN macd_lines m USING ({KEY})""")
-oracle("gold_table", ["ticks"], "SELECT *, open_time::date::varchar AS day, CASE WHEN volume <> 0 THEN notional / volume END AS vwap FROM ("
-       + " UNION ALL ".join(f"SELECT * FROM ({_candles(s, n)})" for n, s in
+oracle("gold_table", ["minutes"], "SELECT *, open_time::date::varchar AS day, CASE WHEN volume <> 0 THEN notional / volume END AS vwap FROM ("
+       + " UNION ALL ".join(f"SELECT * FROM ({_longer(s, n)})" for n, s in
        [("1m", 60), ("3m", 180), ("5m", 300), ("15m", 900), ("30m", 1800), ("1h", 3600), ("4h", 14400), ("1d", 86400)])
        + ")")
 oracle("backfill_merge", ["candles"], f"""

@@ -1,9 +1,10 @@
 import math
 import random
+from fractions import Fraction
 
 from pyspark.sql import functions as F
 
-from candlewright.functions.numbers import exact_sum, fixed_text, number_text, to_number
+from candlewright.functions.numbers import exact_sums, fixed_text, number_text, to_number
 
 
 def test_number_text_reads_like_python(spark):
@@ -39,34 +40,52 @@ def test_to_number_accepts_what_float_accepts(spark):
         assert r.v == want or (math.isnan(r.v) and math.isnan(want)), (r.t, r.v, want)
 
 
-def test_exact_sum_ignores_order(spark):
+def summed(spark, groups, parts=5):
+    rows = [(k, v) for k, vs in groups.items() for v in vs]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(parts)
+    return {r.k: r.s for r in exact_sums(df, ["k"], {"s": F.col("v")}).collect()}
+
+
+def test_exact_sums_ignore_order(spark):
     rng = random.Random(3)
-    values = [round(rng.uniform(-1000, 1000), 4) for _ in range(5000)]
-    want = sum(round(v * 10000) for v in values) / 10000
+    groups = {"a": [round(rng.uniform(-1000, 1000), 4) for _ in range(5000)]}
     for parts in (1, 4, 13):
-        df = spark.createDataFrame([(v,) for v in values], "v double").repartition(parts)
-        assert df.agg(exact_sum(F.col("v"))).first()[0] == want
+        assert summed(spark, groups, parts) == {"a": math.fsum(groups["a"])}
 
 
-def test_exact_sum_of_unusual_values(spark):
+def test_exact_sums_of_unusual_values(spark):
     inf, nan = math.inf, math.nan
-    groups = {"nan": [1.0, nan], "inf": [1.0, inf], "big": [9e18, 9e18, 1.0], "null": [None, None], "some": [None, 2.5], "neg": [-0.1, -0.2]}
-    rows = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs], "k string, v double")
-    got = {r.k: r.s for r in rows.groupBy("k").agg(exact_sum(F.col("v")).alias("s")).collect()}
-    assert math.isnan(got["nan"]) and got["inf"] == inf and got["big"] == 1.8e19
-    assert got["null"] is None and got["some"] == 2.5 and got["neg"] == -0.3
-
+    groups = {
+        "nan": [1.0, nan], "inf": [1.0, inf], "both": [inf, -inf], "big": [9e18, 9e18, 1.0], "null": [None, None],
+        "some": [None, 2.5], "neg": [-0.1, -0.2], "zero": [0.0, -0.0], "over": [1.7e308, 1.7e308],
+    }
+    got = summed(spark, groups)
+    assert math.isnan(got["nan"]) and math.isnan(got["both"]) and got["inf"] == got["over"] == inf
+    assert got["big"] == 1.8e19 and got["null"] is None and got["some"] == 2.5 and got["zero"] == 0.0
+    assert got["neg"] == math.fsum([-0.1, -0.2])
+    assert exact_sums(spark.createDataFrame([], "k string, v double"), ["k"], {"s": F.col("v")}).count() == 0
 
-def test_exact_sum_holds_small_and_large_values(spark):
-    from decimal import Decimal
 
+def test_exact_sums_hold_all_magnitudes(spark):
+    """Equal to the fraction of all values, rounded once: nothing is cut at any size."""
     rng = random.Random(11)
     groups = {
-        "tiny": [4e-10] * 1000, "atto": [1e-18] * 777, "large": [1e15 + 0.125, 1e15, -3.0], "both": [1e-18, 1e15, 1e-18, 2.5],
-        "mixed": [rng.uniform(0, 10) ** rng.randint(-9, 9) for _ in range(400)], "notional": [rng.uniform(0, 9e4) * 1e-6 for _ in range(400)],
+        "tiny": [1e-30] * 10, "atto": [1.23456789012345e-20] * 3, "one": [1e20, 1.0], "far": [1e20, 1e-30],
+        "cancelled": [1e20, 1e-30, -1e20], "least": [5e-324] * 7, "most": [1.7e308, 1.7e308, -1.7e308],
+        "powers": [2.0 ** k for k in range(-1074, 1000)], "tie": [2.0 ** 53, 1.0], "above": [2.0 ** 53, 1.0, 1e-300],
+        "under": [2.0 ** 53, 1.0, -1e-300],
     }
-    data = [(k, v) for k, vs in groups.items() for v in vs]
-    for parts in (1, 7):
-        rows = spark.createDataFrame(data, "k string, v double").repartition(parts)
-        got = {r.k: r.s for r in rows.groupBy("k").agg(exact_sum(F.col("v")).alias("s")).collect()}
-        assert got == {k: float(sum(Decimal(repr(v)) for v in vs)) for k, vs in groups.items()}
+    for i in range(100):
+        spread = rng.randint(0, 300)
+        groups[f"wide{i}"] = [rng.choice([-1, 1]) * rng.random() * 10.0 ** rng.randint(-spread, spread) for _ in range(20)]
+        values = [rng.random() * 10.0 ** rng.randint(-5, 20) for _ in range(20)]
+        groups[f"near{i}"] = values + [-v * (1 + 2.0 ** -52) for v in values]
+    want = {k: float(sum(Fraction(v) for v in vs)) for k, vs in groups.items()}
+    assert summed(spark, groups, 7) == want
+
+
+def test_products_keep_their_digits(spark):
+    """What the review found cut: a product of two doubles comes out as the product."""
+    rows = spark.createDataFrame([("A", 98765.4321, 123.456789)], "k string, price double, quantity double")
+    made = exact_sums(rows, ["k"], {"s": F.col("price") * F.col("quantity")}).first()
+    assert made.s == 98765.4321 * 123.456789
