@@ -30,20 +30,34 @@ def bronze_job(messages: DataFrame, path: str, checkpoint: str, ingested, every:
     return jobs.to_files(rows, path, checkpoint, every, partition_by=["event_date", "ingest_date"])
 
 
-def bronze_candles(bronze: DataFrame) -> DataFrame:
-    """Minute candles from stored tick payloads, filed under their open time.
+def latest_trades(bronze: DataFrame) -> DataFrame:
+    """Ticks of stored payloads, one for each trade id of a symbol: the one that came in last.
 
-    A trade stored more than once, as after a replay, counts once; trades without an id all count.
+    A trade sent again counts once, with its corrected price and quantity; equal times of arrival fall
+    back to the content. Trades without an id all count. Only copies among the given rows are seen: one
+    sent again under another day counts in both, unless both days are read.
     """
     ticks = bronze.select(
-        F.from_json("payload", topics.PAYLOADS[TOPIC_TICKS]).alias("_t")
-    ).select("_t.*")
+        F.from_json("payload", topics.PAYLOADS[TOPIC_TICKS]).alias("_t"), F.col("ingest_time").alias("_in")
+    ).select("_t.*", "_in")
+    # ``row_number() = 1`` is limited per task ahead of the shuffle.
+    newest = Window.partitionBy("symbol", "trade_id").orderBy(*[F.desc(c) for c in ("_in", "ts", "price", "quantity")])
     known = F.col("trade_id").isNotNull()
-    ticks = ticks.filter(known).distinct().unionByName(ticks.filter(~known))
-    minute = C.candles(ticks, "1m")
+    kept = ticks.filter(known).withColumn("_n", F.row_number().over(newest)).filter("_n = 1").drop("_n")
+    return kept.unionByName(ticks.filter(~known)).drop("_in")
+
+
+def bronze_candles(bronze: DataFrame) -> DataFrame:
+    """Minute candles from stored tick payloads, filed under their open time."""
+    minute = C.candles(latest_trades(bronze), "1m")
     return minute.withColumn("ingest_time", F.col("open_time"))
 
 
+def _listed(days: DataFrame) -> list:
+    """The days as literals, which prune folders: at most one a day of the calendar."""
+    return sorted(r[0] for r in days.dropna().distinct().collect())
+
+
 def _followers(silver: DataFrame, touched: DataFrame) -> DataFrame:
     """Days whose first candle of some series comes next after a touched day: its gap may change.
 
@@ -74,18 +88,19 @@ def silver_job(spark: SparkSession, bronze_path: str, path: str,
     if last:
         bronze = bronze.filter(F.col("ingest_date") <= F.lit(last).cast("date"))
     fresh = bronze.filter(F.col("ingest_date") >= F.lit(first).cast("date")) if first else bronze
-    days = fresh.select(F.col("event_date").alias("day")).distinct().dropna()
+    days = _listed(fresh.select("event_date"))
     around = None
     if tables.has_days(spark, path):
         silver = tables.read_days(spark, path)
-        days = stored(days.union(_followers(silver, days)).distinct(), "days")
+        touched = spark.createDataFrame([(day,) for day in days], "day date")
+        days = sorted({*days, *_listed(_followers(silver, touched))})
         # Stored, as the table they come from is about to be written.
         around = stored(
-            silver.join(days, "day", "left_anti").groupBy("symbol", "timeframe", "day")
+            silver.filter(~F.col("day").isin(days)).groupBy("symbol", "timeframe", "day")
             .agg(F.max("open_time").alias("open_time")),
             "edges",
         )
-    rows = bronze.join(days, F.col("event_date") == days["day"], "left_semi")
+    rows = bronze.filter(F.col("event_date").isin(days))
     tables.write_days(S.clean(bronze_candles(rows), around=around), path)
 
 
