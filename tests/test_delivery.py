@@ -57,6 +57,20 @@ def test_message_reads_na_for_zero_price_and_ratio_only(spark):
     assert lines[8].endswith("`rule-123...`") and "`2024-01-02T03:04:05`" in lines[7]
 
 
+def test_webhook_numbers_are_plain_however_small_or_large(spark):
+    numbers = [(0.0008500000000058208, 12345678.5), (-0.00085, 1e7), (1e-5, 1e16), (0.0, -0.0), (None, 1.25)]
+    rows = [(k, "rule-1", 'u"1', "X", "1h", "BUY", a, None, b, 0.5, None) for k, (a, b) in enumerate(numbers)]
+    alerts = spark.createDataFrame(
+        rows, "k int, rule_id string, user_id string, symbol string, timeframe string, action string, close_price double, rsi_14 double, macd double, volume_ratio double, candle_pattern string",
+    ).withColumn("triggered_at", F.lit("2024-01-02 03:04:05").cast("timestamp"))
+    for r in A.webhook_payload(alerts).collect():
+        body = {
+            "event_type": "alert_triggered", "rule_id": "rule-1", "user_id": 'u"1', "symbol": "X", "timeframe": "1h", "action": "BUY",
+            "triggered_at": "2024-01-02T03:04:05", "data": dict(close_price=r.close_price, rsi_14=None, macd=r.macd, volume_ratio=0.5, candle_pattern=None),
+        }
+        assert r.payload == json.dumps(body, separators=(",", ":"))
+
+
 def test_dispatch_job_end_to_end(spark, sf_dir, tmp_path):
     rules = feeds.stored_rules(spark, sf_dir)
     alerts = feeds.alerts(spark, sf_dir)
