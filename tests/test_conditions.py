@@ -190,3 +190,70 @@ def test_index_finds_what_all_pairs_find(spark):
     words = F.transform("_conditions", R._described).alias("words")
     pairs = left.join(right, same).where(R.rule_passed()).select("rule_id", words, "k").collect()
     assert got == sorted((r.rule_id, str(r.words), r.k) for r in pairs) and len(got) > 800
+
+
+def test_rules_alike_are_met_once_and_all_have_their_rows(spark, monkeypatch):
+    # Sets of two rules and more are dealt to several tasks; a limit of -0.0 keeps its words.
+    monkeypatch.setattr(R, "CROWD", 2)
+    candles = spark.createDataFrame(
+        [("X", "1h", k, float(k)) for k in range(6)], "symbol string, timeframe string, k int, close double"
+    ).withColumn("open_time", F.timestamp_seconds(F.col("k") * 3600))
+    zeros = [[num("close", ">", 0.0)], [num("close", ">", -0.0)]]
+    rules = [(f"r{k}", "X", "1h", zeros[k % 2], [None, "and", "AND"][k % 3], True) for k in range(30)]
+    table = spark.createDataFrame(rules, RULE)
+    hits, members = R.evaluate_sets(candles, table)
+    assert hits.count() == 4 * 5 and members.select("_set", "_part").distinct().count() > 6
+    got = R.evaluate(candles, table).collect()
+    assert sorted((r.rule_id, r.triggered_row.k) for r in got) == sorted((f"r{k}", c) for k in range(30) for c in range(1, 6))
+    assert all(r.conditions_met[0].startswith(f"close > {r.conditions[0].value_num} ") for r in got)
+    assert {str(r.conditions[0].value_num) for r in got} == {"0.0", "-0.0"}
+
+
+def test_condition_hits_count_what_all_pairs_find(spark):
+    rng = random.Random(23)
+    numbers = [None, float("nan"), float("inf"), float("-inf"), -0.0, 0.0, 1.0, 1.5, 2.0, 30.0, *[k / 4 for k in range(40)]]
+    candles = spark.createDataFrame(
+        [(rng.choice(["X", "Y", None]), "1h", rng.choice(numbers), rng.choice([None, "DOJI", "doji", "30", "1.5"]), k) for k in range(150)],
+        "symbol string, timeframe string, close double, candle_pattern string, k int",
+    ).withColumn("open_time", F.timestamp_seconds(F.col("k") * 3600))
+    operators = [">", "<", ">=", "<=", "==", "!=", "crosses_above", "crosses_below", "~", None]
+    rows = [
+        (rng.choice(["X", "Y", "Z", None]), "1h", k, rng.choice(["close", "close", "candle_pattern", "absent", None]), rng.choice(operators),
+         rng.choice(numbers), rng.choice([None, None, "Doji", "30", "1.50"]))
+        for k in range(500)
+    ]
+    rows += [("X", "1h", 500 + k, "close", "crosses_above", 2.25, None) for k in range(40)]
+    conditions = spark.createDataFrame(
+        rows, "symbol string, timeframe string, condition_id int, field string, operator string, value_num double, value_str string"
+    )
+    got = R.condition_hits(candles, conditions)
+    prepared = R.with_previous(candles)
+    numeric, text = R._fields(prepared)
+    left = R._prepared(prepared, numeric, text)
+    rules = conditions.select("symbol", "timeframe", "condition_id", F.array(F.struct("field", "operator", "value_num", "value_str")).alias("conditions"), F.lit("AND").alias("logic"))
+    right = R.compiled(rules, numeric + text).withColumnsRenamed({"symbol": "s", "timeframe": "t"})
+    same = F.col("symbol").eqNullSafe(F.col("s")) & F.col("timeframe").eqNullSafe(F.col("t"))
+    passed = R.rule_passed()
+    lacks = F.col("_first.at") < 0
+    pairs = left.join(right, same).groupBy("condition_id").agg(
+        F.count_if(passed).alias("hits"), F.min(F.when(passed, F.col("open_time"))).alias("first_time"),
+        F.count_if(lacks | F.get("_before", F.col("_first.at")).isNull()).alias("without_previous"),
+    )
+    columns = ["condition_id", "hits", "first_time", "without_previous"]
+    want = sorted(map(tuple, pairs.select(columns).collect()))
+    assert sorted(map(tuple, got.select(columns).collect())) == want
+    assert sum(row[1] > 0 for row in want) > 150
+
+
+def test_equal_crossings_form_no_row_for_each_hit(spark, monkeypatch):
+    seen = []
+    candidates = R.candidates
+    monkeypatch.setattr(R, "candidates", lambda prepared, looked_up, condition: seen.append(looked_up.count()) or candidates(prepared, looked_up, condition))
+    candles = spark.createDataFrame([("X", "1h", k, float(k % 7)) for k in range(40)], "symbol string, timeframe string, k int, close double")
+    candles = candles.withColumn("open_time", F.timestamp_seconds(F.col("k") * 3600))
+    rows = [("X", "1h", k, "close", "crosses_above", float(k % 5), None) for k in range(200)]
+    conditions = spark.createDataFrame(
+        rows, "symbol string, timeframe string, condition_id int, field string, operator string, value_num double, value_str string"
+    )
+    assert R.condition_hits(candles, conditions).where("hits > 0").count() == 200
+    assert seen == [0]
