@@ -33,3 +33,34 @@ def test_chunks_chain_to_the_sequential_result(spark, monkeypatch):
     got = K.cooldown(df).select("rule_id", "t").collect()
     for (rule, wait), ts in times.items():
         assert sorted(r.t for r in got if r.rule_id == rule) == sequential(ts, wait), rule
+
+
+def test_rules_alike_in_conditions_and_cooldown_fire_once_a_set(spark, sf_dir, tmp_path, monkeypatch):
+    # Customers repeated by a shift that keeps all a rule is made of, so that many rules are alike.
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from candlewright.plans import queries as Q
+
+    shift = F.explode(F.sequence(F.lit(0), F.lit(19 * 63000), F.lit(63000)))
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet").withColumn("_shift", shift)
+    customers = customers.withColumn("c_custkey", F.col("c_custkey") + F.col("_shift")).drop("_shift")
+    customers.write.parquet(f"{tmp_path}/customer.parquet")
+    spark.read.parquet(f"{sf_dir}/events.parquet").write.parquet(f"{tmp_path}/events.parquet")
+    hits = Q.triggered(spark, str(tmp_path)).select("rule_id", "cooldown_seconds", F.unix_seconds("triggered_row.open_time").alias("t")).collect()
+    by_rule = {}
+    for r in hits:
+        by_rule.setdefault((r.rule_id, r.cooldown_seconds), []).append(r.t)
+    want = sorted((rule, t) for (rule, wait), times in by_rule.items() for t in sequential(times, wait))
+    counted = []
+    write = DataFrameWriter.parquet
+
+    def counting(writer, path, *args, **named):
+        write(writer, path, *args, **named)
+        if "/triggers-" in path:
+            counted.append(spark.read.parquet(path).count())
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", counting)
+    for name in ("cooldown", "stream_cooldown"):
+        got = Q.QUERIES[name](spark, str(tmp_path)).select("rule_id", F.unix_seconds(F.col("triggered_at").cast("timestamp"))).collect()
+        assert sorted(map(tuple, got)) == want, name
+    assert len(counted) == 2 and max(counted) * 10 < len(hits)
