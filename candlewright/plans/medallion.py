@@ -34,11 +34,12 @@ def latest_trades(bronze: DataFrame) -> DataFrame:
     """Ticks of stored payloads, one for each trade id of a symbol: the one that came in last.
 
     A trade sent again counts once, with its corrected price and quantity; equal times of arrival fall
-    back to the content. Trades without an id all count. Only copies among the given rows are seen: one
+    back to the content. Bronze filed without a time of arrival goes by its day. Trades without an id all count. Only copies among the given rows are seen: one
     sent again under another day counts in both, unless both days are read.
     """
+    arrived = "ingest_time" if "ingest_time" in bronze.columns else "ingest_date"
     ticks = bronze.select(
-        F.from_json("payload", topics.PAYLOADS[TOPIC_TICKS]).alias("_t"), F.col("ingest_time").alias("_in")
+        F.from_json("payload", topics.PAYLOADS[TOPIC_TICKS]).alias("_t"), F.col(arrived).alias("_in")
     ).select("_t.*", "_in")
     # ``row_number() = 1`` is limited per task ahead of the shuffle.
     newest = Window.partitionBy("symbol", "trade_id").orderBy(*[F.desc(c) for c in ("_in", "ts", "price", "quantity")])
