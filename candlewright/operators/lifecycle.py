@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewright.operators import rules as R
+from candlewright.session import stored
 
 PATCHED = [
     "conditions", "logic", "action", "notification_channels",
@@ -114,23 +115,23 @@ def apply_changes(rules: DataFrame, changes: DataFrame) -> DataFrame:
     Written as aggregates that combine map-side instead of a fold over each rule's sorted changes, so
     one rule with most of the log is no larger than any other after the map side:
 
-    1. a rule's owner is whoever has it in the table, else whoever created it first; changes by
+    1. times alone are found first, in buffers of fixed width that a hash aggregate holds: per rule and user the
+       last delete, the first create, the latest patch of each column;
+    2. a rule's owner is whoever has it in the table, else whoever created it first; changes by
        others match nothing;
-    2. nothing up to the last delete survives; the first create after it starts the rule anew
+    3. nothing up to the last delete survives; the first create after it starts the rule anew
        (a stored rule that was not deleted goes on, and creates of it are refused);
-    3. from that start every column takes the latest value patched (if the latest value is older
+    4. from that start every column takes the latest value patched (if the latest value is older
        than the start, none came after it), and toggles after the latest patch of is_active flip it
-       by their parity.
+       by their parity. Values are read from the rows of those times in one pass over the log.
 
     ``ts`` is unique within a rule; creates and patches have passed validation.
     """
-    effects = _effects(changes, _owners(rules, changes))
-    flips = _flips(changes, effects)
+    effects = _effects(changes, _lives(rules, changes))
     both = (
         rules.select(*RULE_COLUMNS)
         .join(effects.withColumnRenamed("rule_id", "_rule"), F.col("rule_id") == F.col("_rule"), "full")
         .withColumn("rule_id", F.coalesce("rule_id", "_rule"))
-        .join(flips, "rule_id", "left")
         .filter(F.col("_rule").isNull() | F.col("_goes_on") | F.col("_started").isNotNull())
     )
     anew = F.col("_started").isNotNull()
@@ -148,67 +149,63 @@ def apply_changes(rules: DataFrame, changes: DataFrame) -> DataFrame:
     )
 
 
-def _owners(rules: DataFrame, changes: DataFrame) -> DataFrame:
-    """Per rule in the log: owner, whether it is stored, and the owner's last delete."""
-    op = F.col("op")
+def _lives(rules: DataFrame, changes: DataFrame) -> DataFrame:
+    """Per rule that its owner has changed, when its present life starts and each column was last patched in it.
+
+    A time is null where nothing of the kind happened in this life.
+    """
+    op, ts = F.col("op"), F.col("ts")
+    patched = (op == "patch") & _sets_any()
     by_user = changes.groupBy("rule_id", "user_id").agg(
-        F.max(F.when(op == "delete", F.col("ts"))).alias("_deleted"),
-        F.min(F.when(op == "create", F.col("ts"))).alias("_created"),
+        F.max(F.when(op == "delete", ts)).alias("_deleted"),
+        F.min(F.when(op == "create", ts)).alias("_created"),
+        F.max(F.when(patched | (op == "toggle"), ts)).alias("_acted"),
+        *[F.max(F.when(patched & F.col(f"payload.{c}").isNotNull(), ts)).alias(f"_at_{c}") for c in PATCHED],
     )
-    stored = rules.select("rule_id", F.col("user_id").alias("_stored"))
-    owners = (
-        by_user.groupBy("rule_id").agg(F.min_by("user_id", "_created").alias("_creator"))
-        .join(stored, "rule_id", "left")
-        .select(
-            "rule_id", F.coalesce("_stored", "_creator").alias("user_id"),
-            F.col("_stored").isNotNull().alias("_is_stored"),
-        )
+    first = F.min("_created").over(Window.partitionBy("rule_id"))
+    saved = rules.select("rule_id", F.col("user_id").alias("_stored"))
+    owned = stored(
+        by_user.join(saved, "rule_id", "left").withColumn("_first", first)
+        .filter(F.coalesce(F.col("user_id") == F.col("_stored"), F.col("_created") == F.col("_first")))
+        .withColumn("_goes_on", F.col("_stored").isNotNull() & F.col("_deleted").isNull())
+        .drop("_stored", "_first"),
+        "lives",
     )
-    return owners.join(by_user.drop("_created"), ["rule_id", "user_id"])
-
-
-def _effects(changes: DataFrame, owners: DataFrame) -> DataFrame:
-    """Per rule: where its present life starts and what was patched since."""
-    op, ts = F.col("op"), F.col("ts")
-    patched, toggled = (op == "patch") & _sets_any(), op == "toggle"
-    alive = F.coalesce(ts > F.col("_deleted"), F.lit(True))
-    own = changes.join(owners, ["rule_id", "user_id"]).withColumn(
-        "_goes_on", F.col("_is_stored") & F.col("_deleted").isNull()
+    # Only what was deleted needs another look at the creates.
+    deleted = owned.filter(F.col("_deleted").isNotNull()).select("rule_id", "user_id", "_deleted")
+    again = (
+        changes.filter(op == "create").select("rule_id", "user_id", "ts")
+        .join(deleted, ["rule_id", "user_id"]).filter(ts > F.col("_deleted"))
+        .groupBy("rule_id").agg(F.min("ts").alias("_again"))
     )
-    set_at = {c: F.when(alive & patched & F.col(f"payload.{c}").isNotNull(), ts) for c in PATCHED}
-    starts = F.when(alive & (op == "create") & ~F.col("_goes_on"), ts)
-    raw = own.groupBy("rule_id").agg(
-        F.any_value("user_id").alias("_owner"),
-        F.any_value("_goes_on").alias("_goes_on"),
-        F.min(starts).alias("_started"),
-        F.min_by("payload", starts).alias("_new"),
-        F.max(F.when(alive & (patched | toggled), ts)).alias("_acted"),
-        *[F.max_by(f"payload.{c}", at).alias(f"_p_{c}") for c, at in set_at.items()],
-        *[F.max(at).alias(f"_at_{c}") for c, at in set_at.items()],
+    lives = owned.join(again, "rule_id", "left").withColumn(
+        "_started", F.when(~F.col("_goes_on"), F.when(F.col("_deleted").isNull(), F.col("_created")).otherwise(F.col("_again")))
     )
+    times = ["_acted", *[f"_at_{c}" for c in PATCHED]]
+    return lives.withColumns(
+        {at: F.when(F.col("_goes_on") | (F.col(at) > F.col("_started")), F.col(at)) for at in times}
+    ).drop("_deleted", "_created", "_again")
 
-    def since(at: str) -> Column:
-        return F.col("_goes_on") | (F.col(at) > F.col("_started"))
-
-    created = ["symbol", "timeframe", *PATCHED]
-    defaulted = R.with_defaults(raw.select(*[c for c in raw.columns if c != "_new"], "_new.*")).select(
-        *[c for c in raw.columns if c != "_new"], F.struct(*created).alias("_new")
-    )
-    return defaulted.withColumns({
-        **{f"_p_{c}": F.when(since(f"_at_{c}"), F.col(f"_p_{c}")) for c in PATCHED},
-        "_acted": F.when(since("_acted"), F.col("_acted")),
-        # Toggles count from the start of the rule or the latest patch of is_active.
-        "_from": F.greatest("_started", F.when(since("_at_is_active"), F.col("_at_is_active"))),
-    }).drop(*[f"_at_{c}" for c in PATCHED])
 
+def _effects(changes: DataFrame, lives: DataFrame) -> DataFrame:
+    """Per rule: where its present life starts, what was patched since and how often it was toggled.
 
-def _flips(changes: DataFrame, effects: DataFrame) -> DataFrame:
-    bounds = effects.filter(F.col("_goes_on") | F.col("_started").isNotNull()).select(
-        "rule_id", F.col("_owner").alias("user_id"), "_from"
-    )
-    return (
-        changes.filter(F.col("op") == "toggle").select("rule_id", "user_id", "ts")
-        .join(bounds, ["rule_id", "user_id"])
-        .filter(F.coalesce(F.col("ts") > F.col("_from"), F.lit(True)))
-        .groupBy("rule_id").agg(F.count("*").alias("_flips"))
+    A life has one row for each of its times, so ``max`` only picks that row's value.
+    """
+    op, ts = F.col("op"), F.col("ts")
+    own = changes.filter((op != "patch") | _sets_any()).join(lives, ["rule_id", "user_id"])
+    # Toggles count from the start of the rule or the latest patch of is_active.
+    counts = F.coalesce(ts > F.greatest("_started", "_at_is_active"), F.lit(True))
+    flips = F.count_if((op == "toggle") & counts)
+    raw = own.groupBy("rule_id").agg(
+        F.max("user_id").alias("_owner"),
+        F.bool_or("_goes_on").alias("_goes_on"),
+        F.max("_started").alias("_started"),
+        F.max(F.when((op == "create") & (ts == F.col("_started")), F.col("payload"))).alias("_new"),
+        F.max("_acted").alias("_acted"),
+        F.when(flips > 0, flips).alias("_flips"),
+        *[F.max(F.when((op == "patch") & (ts == F.col(f"_at_{c}")), F.col(f"payload.{c}"))).alias(f"_p_{c}") for c in PATCHED],
     )
+    created = ["symbol", "timeframe", *PATCHED]
+    kept = [c for c in raw.columns if c != "_new"]
+    return R.with_defaults(raw.select(*kept, "_new.*")).select(*kept, F.struct(*created).alias("_new"))

@@ -92,6 +92,33 @@ def test_bulk_equals_one_by_one(spark):
         ), rule_id
 
 
+def test_change_log_is_aggregated_with_its_values_once(spark, sf_dir):
+    from candlewright.sources import feeds
+
+    log = feeds.rule_changes(spark, sf_dir)
+    plan = L.apply_changes(feeds.stored_rules(spark, sf_dir), log)._jdf.queryExecution().executedPlan().toString()
+    tree = plan.split("Initial Plan")[-1].splitlines()
+    # Values have no fixed width and so are sorted: once before and once after their shuffle, times never.
+    assert sum("SortAggregate" in line for line in tree) == 2
+
+
+def test_change_log_keeps_lives_and_owners_apart(spark):
+    """Times that meet: a delete right before a create, a patch before the start, creates and toggles of others."""
+    made = payload(symbol="new", timeframe="1h", conditions=COND, action="SELL", notification_channels=["email"], email_address="a@b")
+    log = [
+        ("a", "u1", "patch", 1, payload(action="EARLY")), ("a", "u1", "create", 2, made), ("a", "u2", "create", 3, made),
+        ("a", "u2", "toggle", 4, None), ("a", "u1", "toggle", 5, None), ("a", "u1", "patch", 6, payload()),
+        ("b", "u1", "create", 1, made), ("b", "u1", "toggle", 2, None), ("b", "u1", "patch", 3, payload(is_active=False, logic="OR")),
+        ("b", "u1", "delete", 4, None), ("b", "u1", "toggle", 5, None), ("b", "u1", "create", 6, made), ("b", "u1", "create", 7, made),
+        ("c", "u1", "create", 1, made), ("c", "u1", "delete", 2, None), ("d", "u1", "toggle", 1, None), ("e", "u1", "patch", 1, payload()),
+    ]
+    table = spark.createDataFrame([], schemas.RULES)
+    log = spark.createDataFrame(log, schemas.RULE_CHANGES.replace("ts timestamp", "ts bigint")).withColumn("ts", F.timestamp_seconds("ts"))
+    got = {r.rule_id: (r.user_id, r.action, r.logic, r.is_active, r["at"]) for r in
+           L.apply_changes(table, log).withColumn("at", F.unix_seconds("updated_at")).collect()}
+    assert got == {"a": ("u1", "SELL", "AND", False, 5), "b": ("u1", "SELL", "AND", True, 6)}
+
+
 def test_validation_reports_every_error(spark):
     good = dict(rule_id="r", user_id="u", symbol="abc", timeframe="1h", conditions=COND, action="BUY",
                 notification_channels=["webhook"], webhook_url="https://h", cooldown_seconds=60)
