@@ -3,6 +3,7 @@
 import base64
 import collections
 import hashlib
+import itertools
 import json
 import random
 import re
@@ -182,6 +183,36 @@ def test_line_dedup_finds_lines_with_a_word_replaced(spark):
     assert all(k % 2 for k in gone) and len(gone) >= 0.95 * len(texts) / 2
 
 
+def test_line_keys_are_shuffled_in_rounds_without_changing_groups(spark, monkeypatch):
+    rng = random.Random(14)
+    word = lambda: "".join(rng.choice("abcdefg") for _ in range(rng.randint(2, 7)))
+    texts = []
+    for _ in range(30):
+        line = [word() for _ in range(rng.randint(4, 30))]
+        for _ in range(4):
+            copy = list(line)
+            copy[rng.randrange(len(copy))] = word()
+            texts.append(" ".join(copy))
+    df = docs_frame(spark, texts)
+    table = lines.line_table(df)
+    prints = lines.line_prints(table)
+    n = prints.count()
+    rounds = [[r.key for r in keyed.select("key").collect()] for keyed in lines.key_rounds(table, prints)]
+    assert all(len(keys) <= lines.KEYS * n for keys in rounds[:-1]) and sum(map(len, rounds[:-1])) == 26 * n
+    assert not any(set(a) & set(b) for a, b in itertools.combinations(rounds, 2))
+
+    def groups():
+        found = collections.defaultdict(set)
+        for r in lines.repeated_lines(df).collect():
+            found[r.group_id].add(r.doc_id)
+        return sorted(map(sorted, found.values()))
+
+    few = groups()
+    monkeypatch.setattr(lines, "KEYS", 26)
+    monkeypatch.setattr(lines, "PARTS", 1)
+    assert sum(map(len, few)) > 60 and groups() == few
+
+
 def test_line_dedup_keeps_a_line_in_one_of_repeated_rows(spark):
     texts = ["alpha beta\n\n--\ngamma"] * 3 + ["delta words"] * 2 + ["gamma", None, None, "", ""]
     df = docs_frame(spark, texts, [1, 1, 1, None, None, 2, 3, 3, 4, 4]).repartition(3)
