@@ -5,6 +5,7 @@ import collections
 import hashlib
 import itertools
 import json
+import pathlib
 import random
 import re
 import zlib
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from candlewright.llm import bpe, chat, exact, langid, lines, packing, queries, simhash, suffixes, topk, warc
 from candlewright.llm.components import components
+from candlewright.session import shared_dir
 
 SMALL = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, row_key long, fp string, hash long, slot long"
@@ -213,6 +215,50 @@ def test_line_keys_are_shuffled_in_rounds_without_changing_groups(spark, monkeyp
     assert sum(map(len, few)) > 60 and groups() == few
 
 
+def test_line_pairs_that_cannot_be_similar_go_no_further_than_their_bucket(spark):
+    rng = random.Random(15)
+    short = [" ".join(rng.choice(["the", "cat", "sat", "mat", "dog", "ran"]) for _ in range(rng.randint(2, 9))) for _ in range(120)]
+    long = [" ".join([f"w{k}" for k in range(n)]) for n in (40, 41, 55, 56, 80, 81)]
+    table = lines.line_table(docs_frame(spark, short + long))
+    texts = {r.hash: r.line for r in table.collect()}
+    within = lambda a, b: edit_distance(a, b) <= int(max(len(a), len(b)) * (1 - 0.8) + 1e-9)
+    met = lines.segment_buckets(table).where("hash <> centre").select("hash", "centre", "near").distinct().collect()
+    near = {(r.hash, r.centre): r.near for r in met}
+    assert set(near.values()) == {True, False}
+    assert all(found == within(texts[a], texts[b]) for (a, b), found in near.items())
+    prints = lines.line_prints(table)
+    bands = lines._shared(lines._keyed(prints, lines._band_keys(), lines.BAND)).where("hash <> centre").collect()
+    apart = [r for r in bands if not min(map(len, (texts[r.hash], texts[r.centre]))) >= 0.8 * max(map(len, (texts[r.hash], texts[r.centre])))]
+    assert apart and not any(r.near for r in apart)
+
+
+def test_comparison_by_beginnings_first_changes_no_result(spark):
+    rng = random.Random(16)
+    cases = []
+    for n in [85, 120, 200, 330]:
+        for changed in (0.1, 0.17, 0.19, 0.2, 0.21, 0.25, 0.6):
+            a = "".join(rng.choice("abcdefgh  ") for _ in range(n)).strip()
+            b = list(a)
+            for _ in range(int(len(a) * changed)):
+                k = rng.randrange(len(b))
+                b[k:k + rng.randint(0, 1)] = rng.choice([[], ["x"], ["y"]])
+            cases += [(a, "".join(b)), (a, "".join(b)[::-1]), (a[n // 8:] + a[:n // 8], a)]
+    got = spark.createDataFrame(cases, "a string, b string").select("a", "b", lines.similar(F.col("a"), F.col("b"), 0.8)).collect()
+    want = [edit_distance(a, b) <= int(max(len(a), len(b)) * (1 - 0.8) + 1e-9) for a, b, _ in got]
+    assert [r[2] for r in got] == want and 5 < sum(want) < len(want) - 5
+
+
+def test_line_dedup_leaves_only_the_tables_of_its_result(spark):
+    base = "one two three four five six seven eight nine ten"
+    df = docs_frame(spark, [base, base + " eleven", base + " eleven", "other words", "other word"])
+    folder = pathlib.Path(shared_dir(spark, "probe").removeprefix("file:")).parent
+    before = set(folder.iterdir())
+    found = lines.without_repeats(df)
+    left = {p.name.rsplit("-", 1)[0] for p in set(folder.iterdir()) - before}
+    assert not left & {"lines", "line-prints", "line-buckets", "line-pairs", "line-texts", "line-mixed", "line-groups"}
+    assert sorted(r.text for r in found.collect()) == ["", "", "", base, "other words"]
+
+
 def test_line_dedup_keeps_a_line_in_one_of_repeated_rows(spark):
     texts = ["alpha beta\n\n--\ngamma"] * 3 + ["delta words"] * 2 + ["gamma", None, None, "", ""]
     df = docs_frame(spark, texts, [1, 1, 1, None, None, 2, 3, 3, 4, 4]).repartition(3)
