@@ -232,6 +232,29 @@ def test_line_pairs_that_cannot_be_similar_go_no_further_than_their_bucket(spark
     assert apart and not any(r.near for r in apart)
 
 
+def test_filter_by_text_stays_behind_the_even_shuffle(spark):
+    rng = random.Random(18)
+    word = lambda: "".join(rng.choice("abcdefghijkl") for _ in range(rng.randint(3, 8)))
+    base = [[word() for _ in range(12)] for _ in range(10)]
+    texts = [" ".join(w[:k] + [word()] + w[k + 1:]) for w in base for k in range(3)]
+    seen = []
+    kept = lines._kept
+
+    def plan(df, purpose):
+        if purpose == "line-links":
+            seen.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return kept(df, purpose)
+
+    lines._kept = plan
+    try:
+        table = lines.line_table(docs_frame(spark, texts))
+        roots = lines.line_groups(lines._shared(lines._keyed(lines.line_prints(table), lines._band_keys(), lines.BAND)), table).collect()
+    finally:
+        lines._kept = kept
+    assert len({r.root for r in roots}) == 10
+    assert seen and all(p.index("levenshtein") < p.index("RepartitionByExpression") and p.count("levenshtein") == p[: p.index("RepartitionByExpression")].count("levenshtein") for p in seen)
+
+
 def test_comparison_by_beginnings_first_changes_no_result(spark):
     rng = random.Random(16)
     cases = []
